@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.bits import allowed_bits
 from ..functions.ids import canonical_id_sql
 from ..session import table
-from . import boruvka, hamming_groups, history, terms
+from . import boruvka, hamming_groups, history, sentences, terms
 
 #: 99 percent of 1024 bits.
 MAX_BITS = allowed_bits(99.0)
@@ -40,7 +40,12 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return boruvka.match_groups(table(spark, d, "dup_manifest"))
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return sentences.sentences(table(spark, d, "documents"))
+
+
 QUERIES = {
+    "p10_found": p10_found,
     "p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p3_found": p3_found, "p3_terms": p3_terms, "p7_found": p7_found,
 }
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.ids import canonical_id_sql
-from ..operators import orphans
+from ..operators import orphans, units
 from ..session import table
 
 ORPHAN_REFS = [
@@ -45,7 +45,16 @@ def p5_cascade(spark: SparkSession, d: str) -> DataFrame:
     return found.groupBy("table", "depth").agg(F.count(F.lit(1)).alias("n_records"))
 
 
-QUERIES = {"p5_found": p5_found, "p5_months": p5_months, "p5_cascade": p5_cascade}
+def p6_values(spark: SparkSession, d: str) -> DataFrame:
+    """Every stated field strength in millitesla, with its residual and whether the reading is unique."""
+    return units.common_values(table(spark, d, "metadata_catalog"), "row_id", "field_strength", "scanner", ("scanner", "series_description"))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return p6_values(spark, d).where("not plain_number").select("row_id", F.round("value").cast("bigint").alias("field_mt"))
+
+
+QUERIES = {"p6_found": p6_found, "p6_values": p6_values, "p5_found": p5_found, "p5_months": p5_months, "p5_cascade": p5_cascade}
 
 
 def _orphan_sql() -> str:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.bits import allowed_bits
 from ..functions.ids import canonical_id_sql
 from ..session import table
-from . import boruvka, hamming_groups, history, sentences, terms
+from . import boruvka, canonical, hamming_groups, history, sentences, terms
 
 #: 99 percent of 1024 bits.
 MAX_BITS = allowed_bits(99.0)
@@ -36,6 +36,13 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return p3_terms(spark, d).where("mark is not null").select("term", "mark")
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    found = canonical.mapped(
+        table(spark, d, "series_map"), "map_id", ("series_description", "cleaned_series_names"), table(spark, d, "view_list"), "view_id", ("view_name", "view_code")
+    )
+    return found.select(F.col("row_id").alias("map_id"), F.col("entry").alias("view_id"))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return boruvka.match_groups(table(spark, d, "dup_manifest"))
 
@@ -45,7 +52,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
-    "p10_found": p10_found,
+    "p4_found": p4_found, "p10_found": p10_found,
     "p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p3_found": p3_found, "p3_terms": p3_terms, "p7_found": p7_found,
 }
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.bits import allowed_bits
 from ..functions.ids import canonical_id_sql
-from ..session import table
-from . import boruvka, canonical, hamming_groups, history, sentences, terms
+from ..session import stored, table
+from . import boruvka, canonical, hamming_groups, history, mixing, packing, sentences, terms, tokens
 
 #: 99 percent of 1024 bits.
 MAX_BITS = allowed_bits(99.0)
@@ -47,12 +47,40 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return boruvka.match_groups(table(spark, d, "dup_manifest"))
 
 
+def p8_packs(spark: SparkSession, d: str) -> DataFrame:
+    """Every document's place in the packs of each capacity, with the pack's fill."""
+    sizes = stored(tokens.counted(table(spark, d, "documents"), ("doc_id",)), "sizes")
+    out = None
+    for kind in table(spark, d, "pack_sizes").collect():
+        packs = packing.packed(sizes, kind["capacity_tokens"]).select(F.lit(kind["pack_kind"]).alias("pack_kind"), "*")
+        out = packs if out is None else out.union(packs)
+    return out
+
+
+def p8_fill(spark: SparkSession, d: str) -> DataFrame:
+    """Packs, used room and fill of each capacity."""
+    packs = p8_packs(spark, d).where("pack_id >= 0").groupBy("pack_kind", "pack_id").agg(F.count(F.lit(1)).alias("n"), F.sum("n_tokens").alias("t"), F.max("fill").alias("f"))
+    return packs.groupBy("pack_kind").agg(
+        F.count(F.lit(1)).alias("n_packs"), F.sum("n").alias("n_items"), F.sum("t").alias("n_tokens"), F.avg("f").alias("mean_fill"), F.min("f").alias("least_fill")
+    )
+
+
+def p9_draw(spark: SparkSession, d: str) -> DataFrame:
+    """How often each document is drawn so that the sources reach their weights."""
+    sizes = stored(tokens.counted(table(spark, d, "documents"), ("doc_id", "source")), "sizes")
+    return mixing.drawn(sizes, table(spark, d, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.shares(p9_draw(spark, d), table(spark, d, "mix_targets"))
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return sentences.sentences(table(spark, d, "documents"))
 
 
 QUERIES = {
-    "p4_found": p4_found, "p10_found": p10_found,
+    "p4_found": p4_found, "p8_packs": p8_packs, "p8_fill": p8_fill, "p9_draw": p9_draw, "p9_shares": p9_shares, "p10_found": p10_found,
     "p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p3_found": p3_found, "p3_terms": p3_terms, "p7_found": p7_found,
 }
 

@@ -1,7 +1,7 @@
 """Connected components of an undirected graph by the smallest label, with pointer jumping.
 
 Each round every node takes the smallest label among its own, its neighbours' and its label's label, so
-labels cross a chain in a logarithmic number of rounds. Rounds are cut by checkpoints.
+labels cross a chain in a logarithmic number of rounds. Each round is cut.
 """
 
 from __future__ import annotations
@@ -17,16 +17,17 @@ def labels(edges: DataFrame) -> DataFrame:
     raw = edges.where("a is not null and b is not null")
     both = cut(raw.select("a", "b").union(raw.select("b", "a")).distinct())
     label = cut(both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("label")))
+    last = None
     while True:
         near = both.join(label.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         far = label.select(F.col("node").alias("label"), F.col("label").alias("far"))
         nxt = label.join(near, "node").join(far, "label", "left").select(
             "node", F.least("label", "near", F.coalesce("far", "label")).alias("new"), F.col("label").alias("old")
         )
-        nxt = cut(nxt)
+        nxt = cut(nxt, drop=(last,) if last is not None else ())
         if not nxt.where("new <> old").head(1):
             return nxt.select("node", F.col("new").alias("label"))
-        label = nxt.select("node", F.col("new").alias("label"))
+        label, last = nxt.select("node", F.col("new").alias("label")), nxt
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.natural import natural_key
+
 # Limits that change results, so they are kept.
 MAX_FOLDER_FILES = 2500
 MAX_FOLDERS = 10
@@ -57,10 +59,13 @@ def folder_cap(folders: DataFrame, keys: list[str], order: list[Column], n: str
     return ranked.withColumn("running", total.cast("bigint")).where((F.col("running") <= frames_max) | (F.col("rank") == 1))
 
 
-def descending_locations(location: Column, keys: list[str], natural: Column) -> list[Column]:
-    """Order of folders: location descending, ties natural; natural alone where a location is missing."""
-    missing = F.max(location.isNull().cast("int")).over(Window.partitionBy(*keys))
-    return [F.when(missing == 0, location).desc_nulls_last(), natural]
+def by_location(folders: DataFrame, keys: list[str], location: str, name: str) -> DataFrame:
+    """Adds the order of folders: ``o_loc`` to sort descending, then ``o_name``, the natural key.
+
+    Where a location of the group is missing, o_loc is NULL for all of it and names alone decide.
+    """
+    missing = F.max(F.col(location).isNull().cast("int")).over(Window.partitionBy(*keys))
+    return folders.withColumn("__missing", missing).withColumn("o_loc", F.when(F.col("__missing") == 0, F.col(location))).withColumn("o_name", natural_key(F.col(name))).drop("__missing")
 
 
 def strided(df: DataFrame, index: Column, step: int) -> DataFrame:

@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
+
 # The proton's gyromagnetic ratio in MHz per tesla, and prefixes as powers of ten.
 PROTON_MHZ_PER_TESLA = 42.577
 PREFIXES = {"": 0, "m": -3, "milli": -3, "u": -6, "µ": -6, "micro": -6, "k": 3, "kilo": 3, "mega": 6, "g": 9, "giga": 9, "n": -9, "nano": -9}
@@ -153,7 +155,7 @@ def common_values(df: DataFrame, id_col: str, value_col: str, group_col: str, co
     The reference is the mean logarithm of the values with one reading only, of the row's group where
     it has such values, else of all; one number per group is joined.
     """
-    found = readings(df, id_col, value_col, group_col, context_cols)
+    found = stored(readings(df, id_col, value_col, group_col, context_cols), "readings")
     sure = found.where((F.size("options") == 1) & ~F.col("plain_number")).select("grp", F.log(F.get("options", F.lit(0))).alias("x"))
     overall = sure.agg(F.avg("x")).first()[0]
     known = sure.groupBy("grp").agg(F.avg("x").alias("centre"))

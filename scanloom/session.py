@@ -18,6 +18,8 @@ DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+_WRITTEN: list[str] = []
+
 
 def local_session(cores: int | str = 8, memory: str = "8g", **extra: str) -> SparkSession:
     """A local session for tests and benchmarks."""
@@ -48,10 +50,26 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` reliably: the plan starts afresh and survives lost executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut(df: DataFrame, drop: tuple[DataFrame, ...] = ()) -> DataFrame:
+    """``df`` as a table written once in the shared folder: the plan starts afresh and survives lost executors.
+
+    Loops cut every round. Unlike ``checkpoint()`` a written table carries no constraints of the plan
+    it came from; in a loop of joins those multiply from round to round until the driver runs out of
+    memory. Tables of earlier rounds that nothing reads any more are deleted with ``drop``.
+    """
+    out = stored(df, "cut")
+    for old in drop:
+        remove(old)
+    return out
+
+
+def remove(df: DataFrame) -> None:
+    """Deletes the table behind a result of ``cut`` or ``stored``; the frame can't be read afterwards."""
+    path = getattr(df, "_written_to", None)
+    if path:
+        spark = df.sparkSession
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def stored(df: DataFrame, label: str = "step", partitions: tuple[str, ...] = ()) -> DataFrame:
@@ -64,4 +82,17 @@ def stored(df: DataFrame, label: str = "step", partitions: tuple[str, ...] = ())
     path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     writer = df.write.mode("overwrite").option("compression", "zstd")
     (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    _WRITTEN.append(path)
+    return out
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Deletes every intermediate table this process wrote; call it when the results are written. Gives their number."""
+    n = len(_WRITTEN)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _WRITTEN:
+        where = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        where.getFileSystem(conf).delete(where, True)
+    return n

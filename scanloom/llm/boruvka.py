@@ -38,25 +38,22 @@ def _roots(parents: DataFrame) -> DataFrame:
     )
     while True:
         up = tree.select(F.col("v").alias("p"), F.col("p").alias("pp"))
-        tree = cut(tree.join(up, "p").select("v", F.col("pp").alias("p"), (F.col("pp") != F.col("p")).alias("moved")))
+        tree = cut(tree.select("v", "p").join(up, "p").select("v", F.col("pp").alias("p"), (F.col("pp") != F.col("p")).alias("moved")), drop=(tree,))
         if not tree.where("moved").head(1):
-            return tree.select("v", "p")
-        tree = tree.select("v", "p")
+            return tree
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of an edge; component is the smallest node of its group."""
     raw = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null")
     raw = raw.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    raw = cut(raw)
-    label = cut(raw.select(F.col("a").alias("node")).union(raw.select(F.col("b").alias("node"))).distinct().withColumn("c", F.col("node")))
-    live = raw.where("a <> b")
+    live = cut(raw)
+    label = cut(live.select(F.col("a").alias("node")).union(live.select(F.col("b").alias("node"))).distinct().withColumn("c", F.col("node")))
+    live = cut(live.where("a <> b"), drop=(live,))
     while live.head(1):
         roots = _roots(_selected(live))
-        label = cut(
-            label.join(roots.select(F.col("v").alias("c"), "p"), "c", "left").select("node", F.coalesce("p", "c").alias("c"))
-        )
-        live = (
+        label = cut(label.join(roots.select(F.col("v").alias("c"), "p"), "c", "left").select("node", F.coalesce("p", "c").alias("c")), drop=(label,))
+        nxt = (
             live.join(roots.select(F.col("v").alias("a"), F.col("p").alias("ra")), "a", "left")
             .join(roots.select(F.col("v").alias("b"), F.col("p").alias("rb")), "b", "left")
             .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
@@ -64,7 +61,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
             .distinct()
         )
-        live = cut(live)
+        live = cut(nxt, drop=(live, roots))
     smallest = label.groupBy("c").agg(F.min("node").alias("component"))
     return label.join(smallest, "c").select("node", "component")
 

@@ -134,9 +134,9 @@ def refused_codes(edges: DataFrame) -> DataFrame:
         hit = cut(settled.select("a").distinct())
         if not hit.head(1):
             return refused if refused is not None else hit
-        refused = hit if refused is None else cut(refused.union(hit))
+        refused = hit if refused is None else refused.union(hit)
         rest = open_edges.join(hit, "a", "left_anti").join(hit.withColumnRenamed("a", "b"), "b", "left_anti")
-        open_edges = cut(rest)
+        open_edges = cut(rest, drop=() if open_edges is edges else (open_edges,))
 
 
 class History:

@@ -55,7 +55,10 @@ def anonymised(archives: DataFrame, crosswalk: DataFrame, on: list[tuple[Column,
     any column are left out. An archive without a crosswalk row is ``not_in_crosswalk`` and never goes
     on: it would leave under its real ids.
     """
-    clean = crosswalk.na.drop("any").select(*[F.col(f"`{c}`").cast("string").alias(f"__k{i}") for i, (_, c) in enumerate(on)], *[F.col(f"`{c}`") for c in ids])
+    whole = F.lit(True)
+    for c in crosswalk.columns:  # quoted, as crosswalk columns may hold dots
+        whole = whole & F.col(f"`{c}`").isNotNull()
+    clean = crosswalk.where(whole).select(*[F.col(f"`{c}`").cast("string").alias(f"__k{i}") for i, (_, c) in enumerate(on)], *[F.col(f"`{c}`") for c in ids])
     clean = clean.groupBy(*[f"__k{i}" for i in range(len(on))]).agg(*[F.min(f"`{c}`").alias(c) for c in ids])
     keyed = archives.withColumns({f"__k{i}": e.cast("string") for i, (e, _) in enumerate(on)})
     names = [f"__k{i}" for i in range(len(on))]

@@ -28,8 +28,11 @@ from ..session import stored
 
 #: Documents of one block of the flight; a block is what a task holds.
 BLOCK_DOCS = 20_000
-#: Documents of a source, about, that are kept for the last flight, and undecided ones that are landed together.
-HELD = 256
+#: Documents of a source, about, that are held back for the last flight: at least so many, and so many times
+#: the tokens of its longest document; one task holds them, so at most so many. It concerns how close the
+#: total comes, not which documents can be drawn.
+HELD, HELD_TIMES, HELD_MOST = 256, 4, 100_000
+#: Undecided ones that are landed together.
 LANDED = 16
 SEED = 7
 _EPS = 1e-9
@@ -97,28 +100,29 @@ def landing(tokens: list[float], probs: list[float], rng: random.Random) -> list
 
 
 def plan(sizes: DataFrame, targets: DataFrame) -> DataFrame:
-    """One row per target: source, target_weight, max_repeats, docs and tokens at hand, and rate.
+    """One row per target: source, target_weight, max_repeats, docs and tokens at hand, rate and hold.
 
     rate is the expected number of draws of each document: the total is the largest at which every
     target that has documents can be reached within its cap.
     """
-    have = sizes.where("tokens > 0 and source is not null").groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum("tokens").alias("have"))
+    have = sizes.where("tokens > 0 and source is not null").groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum("tokens").alias("have"), F.max("tokens").alias("longest"))
     table = targets.select("source", F.col("target_weight").cast("double").alias("target_weight"), F.coalesce("max_repeats", F.lit(1)).alias("max_repeats"))
-    table = table.join(have, "source", "left").na.fill(0, ["docs", "have"])
+    table = table.join(have, "source", "left").na.fill(0, ["docs", "have", "longest"])
     reach = F.when((F.col("have") > 0) & (F.col("target_weight") > 0), F.col("max_repeats") * F.col("have") / F.col("target_weight"))
     total = table.agg(F.min(reach)).first()[0] or 0.0
     rate = F.when(F.col("have") > 0, F.least(F.lit(float(total)) * F.col("target_weight") / F.col("have"), F.col("max_repeats").cast("double"))).otherwise(0.0)
-    return table.withColumn("rate", rate)
+    held = F.least(F.greatest(F.lit(HELD), F.coalesce(F.ceil(F.col("longest") * HELD_TIMES * F.col("docs") / F.nullif("have", F.lit(0))), F.lit(0))), F.lit(HELD_MOST))
+    return table.withColumn("rate", rate).withColumn("hold", held)
 
 
 def drawn(sizes: DataFrame, targets: DataFrame, id_col: str = "doc_id", seed: int = SEED) -> DataFrame:
     """(doc_id, source, tokens, copies) of every document; copies is how often the mixture holds it."""
     rates = stored(plan(sizes, targets), "rates")
     units = (
-        sizes.join(rates.select("source", "rate", "docs"), "source", "left")
+        sizes.join(rates.select("source", "rate", "docs", "hold"), "source", "left")
         .withColumn("rate", F.when(F.col("tokens") > 0, F.coalesce("rate", F.lit(0.0))).otherwise(0.0))
         .select(F.col(id_col).alias("id"), "source", "tokens", "rate", F.pmod(F.xxhash64(id_col), F.greatest(F.ceil(F.col("docs") / BLOCK_DOCS), F.lit(1))).alias("block"),
-                (F.pmod(F.xxhash64(F.lit("held"), F.col(id_col)), F.greatest(F.ceil(F.col("docs") / HELD), F.lit(1))) == 0).alias("held"))
+                (F.pmod(F.xxhash64(F.lit("held"), F.col(id_col)), F.greatest(F.floor(F.col("docs") / F.col("hold")), F.lit(1))) == 0).alias("held"))
         .withColumn("whole", F.floor(F.col("rate") + _EPS)).withColumn("prob", F.greatest(F.col("rate") - F.col("whole"), F.lit(0.0)))
     )
     units = stored(units, "units")
@@ -126,7 +130,7 @@ def drawn(sizes: DataFrame, targets: DataFrame, id_col: str = "doc_id", seed: in
     out_schema = f"id {id_type}, source string, tokens bigint, prob double, held boolean"
 
     def fly(land: bool):
-        def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+        def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
             rows = rows.sort_values(["held", "tokens", "id"], kind="stable")
             t, rng = rows["tokens"].astype(float).tolist(), random.Random(f"{seed}/{key}")
             free = int((~rows["held"]).sum())

@@ -70,7 +70,38 @@ where r.k is not null and not exists (
     return "\nunion all\n".join(parts)
 
 
+_WIDE = "".join(map(chr, range(0xFF01, 0xFF5F))) + "\u3000\u03bc"
+_PLAIN = ("".join(map(chr, range(0x21, 0x7F))) + " \u00b5").replace("'", "''")
+
+
+def _unit_sql() -> str:
+    """Field strengths by another way: candidates of number and unit as rows, the one nearest 1.5 tesla wins."""
+    t = f"regexp_replace(lower(trim(translate(field_strength, '{_WIDE}', '{_PLAIN}'))), '\\bhalf an? ', '0.5 ', 'g')"
+    for word, digit in units.NUMBER_WORDS.items():
+        t = f"regexp_replace({t}, '\\b{word}\\b', '{digit}', 'g')"
+    t = f"regexp_replace({t}, '(\\d) point (\\d)', '\\1.\\2', 'g')"
+    alts = units._alternatives()
+    long_names = "|".join(n for n in alts.split("|") if len(n) > 4)
+    named = lambda c: (
+        f"coalesce(nullif(regexp_extract(lower(coalesce({c}, '')), '(?:[\\[(:/=]\\s*|\\b(?:in|as)\\s+)({alts})\\s*(?:[\\])]|$|[;,])', 1), ''), "
+        f"nullif(regexp_extract(lower(coalesce({c}, '')), '(?:^|[^a-z0-9\u00b5])({long_names})(?:$|[^a-z0-9])', 1), ''))"
+    )
+    factors = ", ".join(f"('{n}', {f!r}::double)" for n, fs in units.unit_readings().items() for f in fs)
+    number = "(?:\\d{1,3}(?: \\d{3})+|\\d[\\d.,]*|[.,]\\d+)(?:e[+-]?\\d+)?"
+    return f"""with u(name, factor) as (values {factors}),
+a as (select row_id, field_strength raw, regexp_replace({t}, '\\b[bf]0\\b\\s*[=:]?|\\(1h\\)|\\b1h\\b', ' ', 'g') x, {named('scanner')} c1, {named('series_description')} c2 from metadata_catalog),
+b as (select *, regexp_extract_all(x, '{number}') nums, nullif(regexp_extract(regexp_replace(x, '{number}', ' ', 'g'), '(?:^|[^a-z\u00b5])({alts})(?:$|[^a-z])', 1), '') own from a),
+c as (select *, coalesce(own, c1, c2, 'tesla') unit, regexp_extract(nums[1], '^([^e]*)', 1) m0, regexp_extract(nums[1], '(e[+-]?\\d+)$', 1) ex from b where len(nums) = 1),
+d as (select *, regexp_replace(m0, '[ ]|[.,]$', '', 'g') m from c where not (regexp_full_match(raw, '\\d+\\.?\\d*|\\.\\d+') and unit in ('t', 'tesla', 'teslas'))),
+e as (select row_id, unit, unnest([case when regexp_full_match(m, '\\d*[.,]?\\d*') then replace(m, ',', '.') || ex end,
+  case when regexp_full_match(m, '\\d{{1,3}}(,\\d{{3}})+(\\.\\d*)?') then replace(m, ',', '') || ex end,
+  case when regexp_full_match(m, '\\d{{1,3}}(\\.\\d{{3}})+(,\\d*)?') then replace(replace(m, '.', ''), ',', '.') || ex end]) v from d),
+f as (select row_id, try_cast(v as double) * factor mt from e join u on name = replace(unit, '-', '') where try_cast(v as double) > 0)
+select row_id, round(arg_min(mt, abs(ln(mt / 1500))))::bigint field_mt from f group by row_id"""
+
+
 SQL = {
+    "p6_found": _unit_sql(),
     "p5_found": f"select ref_table, ref_field, row_id, kind from ({_orphan_sql()})",
     "p5_months": f"select ref_table, ref_field, kind, strftime(t, '%Y-%m') as month, count(*)::bigint n_orphans from ({_orphan_sql()}) group by 1, 2, 3, 4",
 }

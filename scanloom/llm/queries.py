@@ -109,6 +109,12 @@ pairs as (select a, b from near union all select cid, cid from codes)
 select least(x.row_id, y.row_id) row_id_a, greatest(x.row_id, y.row_id) row_id_b
 from pairs join r x on x.cid = a join r y on y.cid = b
 where (a <> b or x.row_id < y.row_id) and not (x.source is not distinct from y.source and x.relpath is not distinct from y.relpath)""",
+    "p1_groups": f"""with recursive {_CODES},
+reps as (select cid, min(row_id) rid from rows join codes using (h) group by cid),
+e as materialized (select x.rid a, y.rid b from near join reps x on x.cid = a join reps y on y.cid = b union select y.rid, x.rid from near join reps x on x.cid = a join reps y on y.cid = b),
+walk as (select rid n, rid r from reps union select e.b, w.r from walk w join e on e.a = w.n and w.r < e.b),
+best as (select n, min(r) g from walk group by n), links as (select a n, count(*) k from e group by a)
+select row_id, g group_id, coalesce(k, 0)::bigint n_links from rows join codes using (h) join reps using (cid) join best on n = rid left join links on links.n = rid""",
     "p2_found": f"""with recursive {_CODES},
 edges as materialized (select a, b, fa, fb from near where fb < fa union all select b, a, fb, fa from near where fa < fb),
 steps as (

@@ -30,11 +30,12 @@ LEAST_PREFIX = 4
 LEAST_SKELETON = 3
 
 
-def allowed(length: Column) -> Column:
+def allowed(word: Column) -> Column:
+    """Edits allowed to a canonical word; one at most for short codes with a digit, which lie close together."""
     out = F.lit(0)
     for least, k in EDITS[1:]:
-        out = F.when(length >= least, k).otherwise(out)
-    return out
+        out = F.when(F.length(word) >= least, k).otherwise(out)
+    return F.when(word.rlike(r"\d") & (F.length(word) <= 8), F.least(out, F.lit(1))).otherwise(out)
 
 
 def words_of(text: Column) -> Column:
@@ -112,7 +113,7 @@ def near_words(free: DataFrame, known: DataFrame) -> DataFrame:
     ``free`` has distinct ``word``s, ``known`` distinct ``ref``s with ``single``, true for words of their
     own. Exact words are not searched for edits; beginnings and consonants of single words count one edit.
     """
-    known = known.select("ref", "single", allowed(F.length("ref")).alias("k"))
+    known = known.select("ref", "single", allowed(F.col("ref")).alias("k"))
     exact = free.join(known, F.col("word") == F.col("ref")).select("word", "ref", F.lit(0).alias("edits"))
     rest = free.join(known, F.col("word") == F.col("ref"), "left_anti")
     cut = known.where("k > 0").select("ref", "k", F.explode(_segments(F.col("ref"), F.col("k"))).alias("s"))

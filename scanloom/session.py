@@ -42,11 +42,10 @@ def shared_folder(spark: SparkSession) -> str:
     sc = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not folder:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
         folder = "file://" + tempfile.mkdtemp(prefix="scanloom-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(folder)
+        spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 

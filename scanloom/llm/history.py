@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from ..functions import bits
 from ..functions.ids import canonical_id
-from ..session import cut, shared_folder, stored
-from .hamming_groups import code_rows
+from ..session import cut, stored
+from .hamming_groups import HOT_BUCKET, code_rows
 
 #: Pivots per table. Eight 7-bit distances and the segment fill one long.
 PIVOTS = 8
@@ -38,8 +38,8 @@ def pivot_codes(n: int = PIVOTS, seed: int = PIVOT_SEED) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 1 << 64, size=(n, bits.LANES), dtype=np.uint64)
 
 
-def segment_masks(segments: int) -> np.ndarray:
-    return np.array(bits.scattered_masks(segments), dtype=np.int64).view(np.uint64)
+def segment_masks(segments: int, stride: int = 1) -> np.ndarray:
+    return np.array(bits.scattered_masks(segments, stride), dtype=np.int64).view(np.uint64)
 
 
 def pivot_keys(words: np.ndarray, pivots: np.ndarray, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -57,13 +57,13 @@ def pivot_keys(words: np.ndarray, pivots: np.ndarray, masks: np.ndarray) -> tupl
     return keys, whole
 
 
-def pivot_table(codes: DataFrame, max_bits: int) -> DataFrame:
-    """(key, cid, first_batch, d0): one row per code and segment.
+def pivot_table(codes: DataFrame, max_bits: int, stride: int = 1) -> DataFrame:
+    """(key, cid, first_batch, d0): one row per code and segment. Another stride cuts other segments.
 
     The distances are numpy kernels over Arrow batches: unrolled as expressions they would exceed what
     the JVM compiles.
     """
-    pivots, masks = pivot_codes(), segment_masks(bits.band_count(max_bits))
+    pivots, masks = pivot_codes(), segment_masks(bits.band_count(max_bits), stride)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -94,12 +94,34 @@ def _verified(pairs: DataFrame, left: DataFrame, right: DataFrame, max_bits: int
     return wide.where(bits.distance("a_", "b_") <= max_bits).select(*pairs.columns)
 
 
-def _crowds(table: DataFrame) -> DataFrame:
-    """Keys that at least two codes share, with their number."""
-    return table.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+def _shared(table: DataFrame) -> DataFrame:
+    """The rows whose key at least two codes have, with their number ``n``."""
+    return table.join(table.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "key")
 
 
-def batch_cases(df: DataFrame, batch_col: str, max_bits: int, id_col: str = "row_id", code_col: str = "fp_hex") -> DataFrame:
+def _pairs(table: DataFrame, max_bits: int) -> DataFrame:
+    """(a, b): codes of one key, b of an earlier batch, that no pivot tells apart."""
+    young = table.select("key", F.col("cid").alias("a"), F.col("first_batch").alias("fa"), F.col("d0").alias("da"))
+    old = table.select("key", F.col("cid").alias("b"), F.col("first_batch").alias("fb"), F.col("d0").alias("db"))
+    return young.join(old, "key").where(f"fb < fa and abs(da - db) <= {max_bits}").select("a", "b")
+
+
+def _candidates(codes: DataFrame, max_bits: int, hot: int = HOT_BUCKET) -> DataFrame:
+    """Distinct candidate pairs (a, b), b of an earlier batch.
+
+    A key with more than ``hot`` codes is split by the pivot distances over other segments: close codes
+    agree on one of those as well, so nothing is lost.
+    """
+    table = stored(pivot_table(codes, max_bits), "pivots")
+    shared = stored(_shared(table).repartitionByRange("key").sortWithinPartitions("key"), "shared")
+    crowded = shared.where(F.col("n") > hot).select("key", "cid")
+    again = pivot_table(codes.join(crowded.select("cid").distinct(), "cid", "left_semi"), max_bits, bits.band_count(max_bits))
+    again = again.withColumnRenamed("key", "second").join(crowded, "cid").select(F.xxhash64("key", "second").alias("key"), "cid", "first_batch", "d0")
+    split = stored(_shared(again), "split")
+    return _pairs(shared.where(F.col("n") <= hot), max_bits).union(_pairs(split, max_bits)).distinct()
+
+
+def batch_cases(df: DataFrame, batch_col: str, max_bits: int, id_col: str = "row_id", code_col: str = "fp_hex", hot: int = HOT_BUCKET) -> DataFrame:
     """(row_id) of the rows that repeat a row accepted from an earlier batch, over all batches at once.
 
     Equal to feeding the batches one by one to ``History``, in one pass: whether a code is accepted
@@ -110,11 +132,7 @@ def batch_cases(df: DataFrame, batch_col: str, max_bits: int, id_col: str = "row
     rows = code_rows(df.where(F.col(batch_col).isNotNull()), id_col, code_col, (batch_col,))
     rows = rows.select("row_id", "code", F.col(batch_col).cast("bigint").alias("batch"))
     codes = stored(rows.groupBy("code").agg(F.min("row_id").alias("cid"), F.min("batch").alias("first_batch")), "history")
-    table = stored(pivot_table(codes, max_bits), "pivots")
-    table = stored(table.join(_crowds(table), "key").repartitionByRange("key").sortWithinPartitions("key"), "crowds")
-    young = table.select("key", F.col("cid").alias("a"), F.col("first_batch").alias("fa"), F.col("d0").alias("da"))
-    old = table.select("key", F.col("cid").alias("b"), F.col("first_batch").alias("fb"), F.col("d0").alias("db"))
-    pairs = young.join(old, "key").where(f"fb < fa and abs(da - db) <= {max_bits}").select("a", "b").distinct()
+    pairs = _candidates(codes, max_bits, hot)
     edges = cut(_verified(pairs, codes, codes, max_bits))
     refused = refused_codes(edges).select(F.col("a").alias("cid"), F.lit(True).alias("refused"))
     known = codes.join(refused, "cid", "left").select("code", "first_batch", "refused")
@@ -186,9 +204,3 @@ def repeated_ids(df: DataFrame, batch_col: str, id_col: str, value_col: str) ->
     ids = df.select(F.col(id_col).alias("row_id"), canonical_id(F.col(value_col)).alias("v"), F.col(batch_col).alias("batch")).where("v is not null and batch is not null")
     first = ids.groupBy("v").agg(F.min("batch").alias("first"))
     return ids.join(first, "v").where("batch > first").select("row_id")
-
-
-def fresh_folder(spark: SparkSession, label: str) -> str:
-    import uuid
-
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -96,6 +96,7 @@ def test_batches_equal_one_by_one(spark, fp, tmp_path):
     rows = fp_rows()
     want = brute_cases(rows)
     assert {r.row_id for r in history.batch_cases(fp, "batch_no", 10).collect()} == want and want
+    assert {r.row_id for r in history.batch_cases(fp, "batch_no", 10, hot=1).collect()} == want
     kept = history.History(spark, f"file://{tmp_path}/h", 10)
     got = set()
     for b in (0, 1, 2, 3):

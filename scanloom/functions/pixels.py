@@ -34,6 +34,36 @@ def three_channels(plane: np.ndarray) -> np.ndarray:
     return np.broadcast_to(plane, (3, *plane.shape))
 
 
+def frames_first(array: np.ndarray, layout: str, channel: int = 0) -> np.ndarray:
+    """[frames, h, w] of a stored array whose axes mean what ``layout`` says; one channel of several."""
+    if layout == "single":
+        return array[None]
+    if layout == "channels_first":
+        return array[channel][None]
+    if array.ndim == 3:
+        return array
+    moved = array if layout == "cine0" else np.swapaxes(array, 0, 1)
+    return moved[:, min(channel, moved.shape[1] - 1)]
+
+
+def channels_last(array: np.ndarray) -> np.ndarray:
+    """[.., h, w, channels] of [.., channels, h, w], as viewers and encoders want it."""
+    return np.moveaxis(array, -3, -1)
+
+
+def check_channels(shape: tuple[int, ...], channels: str) -> None:
+    """grey arrays have fewer than four axes, rgb ones a channel axis of three."""
+    if channels == "grey" and len(shape) >= 4:
+        raise ValueError(f"not a grey series: {shape}")
+    if channels == "rgb" and (len(shape) < 3 or shape[-3] != 3):
+        raise ValueError(f"not an rgb series: {shape}")
+
+
+def stack(planes: list[bytes], h: int, w: int, dtype: str) -> np.ndarray:
+    """[frames, h, w] of ordered frame payloads of the store."""
+    return np.stack([np.frombuffer(p, "<f4" if dtype == "f4" else "u1").reshape(h, w) for p in planes])
+
+
 def to_u8(x: np.ndarray, low: float | None = None, high: float | None = None) -> np.ndarray:
     """Min-max scaling to 0..255, truncated; with the bounds given or the array's own."""
     low = float(x.min()) if low is None else low

@@ -71,3 +71,9 @@ def by_location(folders: DataFrame, keys: list[str], location: str, name: str) -
 def strided(df: DataFrame, index: Column, step: int) -> DataFrame:
     """Every step-th frame."""
     return df.where(index % step == 0)
+
+
+def boundary_frames(series: DataFrame, step: int = 1) -> DataFrame:
+    """(series columns, frame_idx): every step-th slice boundary of each series, for one picture per slice."""
+    picked = F.filter("slice_frames", lambda x, i: i % step == 0)
+    return series.withColumn("frame_idx", F.explode(picked))

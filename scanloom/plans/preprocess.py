@@ -137,14 +137,28 @@ def decode(members: DataFrame, frames: DataFrame, opts: Options) -> DataFrame:
     return rows.select("archive", "folder", "member", "content", "raw", "frame_idx").mapInPandas(run, schema)
 
 
-def run(members: DataFrame, opts: Options) -> tuple[DataFrame, DataFrame, DataFrame]:
+def extract_views(members: DataFrame, opts: Options, view_map: DataFrame, views: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Like ``run``, for the series that a map of (series_description, view, ord) gives the wanted views.
+
+    Of several series of one view in a study the first in the map's order is taken.
+    """
+    return run(members, opts, view_map.where(F.col("view").isin(views)))
+
+
+def _of_views(frames: DataFrame, view_map: DataFrame) -> DataFrame:
+    series = frames.select("archive", "raw").distinct().join(view_map.select(F.col("series_description").alias("raw"), "view", "ord"), "raw")
+    first = Window.partitionBy("archive", "view").orderBy("ord", "raw")
+    return frames.join(series.withColumn("__rn", F.row_number().over(first)).where("__rn = 1").select("archive", "raw"), ["archive", "raw"], "left_semi")
+
+
+def run(members: DataFrame, opts: Options, view_map: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(frames, series, outcomes) in the schemas of the store, with the archive each came from.
 
     total_images counts the listed files, also those that could not be decoded; frames are numbered
     without gaps. Slice boundaries are found over the decoded frames.
     """
     planned, left_out = plan_frames(headers(members), opts)
-    planned = stored(planned, "plan")
+    planned = stored(planned if view_map is None else _of_views(planned, view_map), "plan")
     done = stored(decode(members, planned, opts), "decoded")
     good = done.where("status is null")
     key = ["archive", "raw"]

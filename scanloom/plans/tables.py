@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,9 @@ from ..functions.anon import hashed_id
 from ..functions.ids import canonical_id, canonical_id_sql
 from ..operators import checksum, components, crosswalk, hamming_join, ordering, profile, reconcile, resolve, rollup, views
 from ..session import stored, table
+from ..sources import dicom
+from ..sources.archives import MEMBERS
+from . import catalog, dedup, preprocess
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -465,6 +470,71 @@ def layout_infer(spark: SparkSession, d: str) -> DataFrame:
     return df.select("id", layout.series_layout(F.col("shape"), F.col("n")).alias("layout"))
 
 
+# -- archives to series, over planes packed as DICOM files ----------------------------------------------
+
+
+def study_members(spark: SparkSession, d: str) -> DataFrame:
+    """The embeddings as studies: a study per label, a DICOM file per vector, seven vectors to a slice."""
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for vec, plane, label in zip(b["vec_id"], b["embedding"], b["label"]):
+                array = np.trunc((np.asarray(plane, np.float64) + 2) * 1000).astype("<u2").reshape(8, 8)
+                tags = {"SeriesDescription": f"view {label}", "SliceLocation": int(vec) // 7, "InstanceNumber": int(vec), "PatientID": f"P{label}", "AccessionNumber": f"N{label}"}
+                out.append((f"M{label}-A-{label}.tgz", "study", f"{vec}.dcm", dicom.build(tags, array), None))
+            yield pd.DataFrame(out, columns=["archive", "folder", "member", "content", "status"])
+
+    return table(spark, d, "embeddings").select("vec_id", "embedding", "label").mapInPandas(run, MEMBERS)
+
+
+_FRAMES_SQL = """f as (select label, vec_id, vec_id // 7 loc, list_transform(embedding, lambda x: trunc((x::double + 2) * 1000)) p from embeddings),
+o as (select *, row_number() over w - 1 i, lead(loc) over w nxt from f window w as (partition by label order by loc, vec_id))"""
+
+
+@query(f"""with {_FRAMES_SQL} select 'medstar' institution, 'M' || label mrn, 'A-' || label accession, 'view_' || label series, count(*)::int total_images, count(*)::int n_frames,
+coalesce(string_agg(case when loc <> nxt then i::varchar end, ',' order by i), '') slice_frames, min(list_min(p)) vmin, max(list_max(p)) vmax from o group by label""")
+def preprocess_series(spark: SparkSession, d: str) -> DataFrame:
+    """The preprocessing pipeline from DICOM files to series with their slices and bounds."""
+    _, series, _ = preprocess.run(study_members(spark, d), preprocess.Options("medstar", frame_size=None))
+    return series.drop("archive").withColumn("slice_frames", F.array_join(F.transform("slice_frames", lambda x: x.cast("string")), ","))
+
+
+@query(f"""with {_FRAMES_SQL}, b as (select *, min(list_min(p)) over (partition by label) lo, max(list_max(p)) over (partition by label) hi from o)
+select 'view_' || label series, i::int frame_idx, string_agg(lpad(lower(to_hex(g.v)), 2, '0'), '' order by g.j) pixels
+from b, lateral (select unnest(list_transform(p, lambda x: trunc((x - lo) / (hi - lo + 1e-8) * 255)::int)) v, generate_subscripts(p, 1) j) g group by label, i""")
+def preprocess_frames(spark: SparkSession, d: str) -> DataFrame:
+    """Grey frames of the store, scaled by the bounds of their series."""
+    frames, _, _ = preprocess.run(study_members(spark, d), preprocess.Options("medstar", frame_size=None, channels="grey"))
+    return frames.select("series", "frame_idx", F.lower(F.hex("pixels")).alias("pixels"))
+
+
+@query()
+def fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    """Perceptual fingerprints of first, middle and last frames of the stored series."""
+    frames, series, _ = preprocess.run(study_members(spark, d), preprocess.Options("medstar", frame_size=None))
+    return dedup.fingerprint_manifest(frames, series, "store")
+
+
+@query("select 'M' || label mrn, 'A-' || label accession, 'view_' || label series_description, (arg_min(vec_id, vec_id) // 7)::varchar frame_loc, null::varchar scanner, null::varchar field_strength from embeddings group by label")
+def metadata_scan(spark: SparkSession, d: str) -> DataFrame:
+    """The metadata catalogue of the first file of each series."""
+    return catalog.catalog(study_members(spark, d), "medstar")
+
+
+@query(f"""with {_FRAMES_SQL} select 'view_' || label series, i::int frame_idx from (select *, sum((loc <> nxt)::int) over (partition by label order by i rows unbounded preceding) k from o) where loc <> nxt and (k - 1) % 2 = 0""")
+def slice_pictures(spark: SparkSession, d: str) -> DataFrame:
+    """The frames shown for every second slice."""
+    _, series, _ = preprocess.run(study_members(spark, d), preprocess.Options("medstar", frame_size=None))
+    return ordering.boundary_frames(series, 2).select("series", "frame_idx")
+
+
+@query("select store_id, relpath from store_files where split_part(relpath, '_', 1) = 'esk'")
+def institution_files(spark: SparkSession, d: str) -> DataFrame:
+    """Files of institutions by the text before the first underscore."""
+    return table(spark, d, "store_files").where(naming.of_institution(F.col("relpath"), "esk")).select("store_id", "relpath")
+
+
 # -- perceptual duplicates ----------------------------------------------------------------------------
 
 _FP = "select row_id, source, relpath, series, lower(fp_hex) h from fp_manifest where regexp_full_match(fp_hex, '[0-9a-fA-F]{256}') and fp_hex <> repeat('0', 256)"

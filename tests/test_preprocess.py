@@ -171,3 +171,23 @@ def test_duplicate_report(spark):
     assert {(r.source_a, r.source_b) for r in only_new.collect()} == {("new", "old")}
     with pytest.raises(ValueError):
         dedup.report(manifest.withColumn("fp_hex", F.lit("ab" * 32)))
+
+
+def test_views_are_extracted_in_map_order(spark, folder):
+    view_map = spark.createDataFrame([("RAG", "V", 1), ("SAX 4/3", "W", 2), ("x InlineVF y", "W", 1)], "series_description string, view string, ord int")
+    opts = preprocess.Options("medstar", frame_size=None)
+    members = archives.members(spark, folder)
+    assert [r.series for r in preprocess.extract_views(members, opts, view_map, ["W"])[1].collect()] == ["SAX_4_3"]
+    assert preprocess.extract_views(members, opts, view_map, ["none"])[1].count() == 0
+
+
+def test_array_layouts():
+    a = np.arange(2 * 3 * 4 * 5).reshape(2, 3, 4, 5)
+    assert (pixels.frames_first(a, "cine0", 1) == a[:, 1]).all() and (pixels.frames_first(a, "cine1", 1) == a[1]).all()
+    assert pixels.frames_first(a[0, 0], "single").shape == (1, 4, 5) and pixels.frames_first(a[0], "channels_first").shape == (1, 4, 5)
+    assert pixels.channels_last(a).shape == (2, 4, 5, 3) and pixels.three_channels(a[0, 0]).shape == (3, 4, 5)
+    assert pixels.stack([bytes(4), bytes(4)], 2, 2, "u1").shape == (2, 2, 2)
+    pixels.check_channels((7, 4, 5), "grey"), pixels.check_channels((7, 3, 4, 5), "rgb")
+    for shape, c in (((7, 3, 4, 5), "grey"), ((7, 1, 4, 5), "rgb"), ((4, 5), "rgb")):
+        with pytest.raises(ValueError):
+            pixels.check_channels(shape, c)

@@ -34,8 +34,13 @@ def incomplete(inputs: DataFrame, outputs: DataFrame, key: str) -> DataFrame:
 
 def audit_counts(inputs: DataFrame, outputs: DataFrame, key: str) -> DataFrame:
     """One row: n_inputs, n_processed (not distinct, as reported), n_incomplete."""
-    left = incomplete(inputs, outputs, key).agg(F.count(F.lit(1)).alias("n_incomplete"))
-    return inputs.agg(F.countDistinct(key).alias("n_inputs")).join(outputs.agg(F.count(F.lit(1)).alias("n_processed"))).join(left)
+    names = ("n_inputs", "n_processed", "n_incomplete")
+    parts = (inputs.agg(F.countDistinct(key).alias("n")), outputs.agg(F.count(F.lit(1)).alias("n")), incomplete(inputs, outputs, key).agg(F.count(F.lit(1)).alias("n")))
+    rows = None
+    for i, part in enumerate(parts):
+        row = part.select(*[(F.col("n") if i == j else F.lit(0).cast("bigint")).alias(c) for j, c in enumerate(names)])
+        rows = row if rows is None else rows.union(row)
+    return rows.agg(*[F.sum(c).alias(c) for c in names])
 
 
 def union_manifests(parts: list[DataFrame]) -> DataFrame:

@@ -121,9 +121,11 @@ def near_words(free: DataFrame, known: DataFrame) -> DataFrame:
     # the places where a piece can lie: its start, shifted by up to k; joined on the substring found there
     places = cut.select("ref", "k", "n", "piece", "width", F.explode(F.sequence(F.greatest(F.col("start") - F.col("k"), F.lit(1)), F.col("start") + F.col("k"))).alias("at"))
     places = stored(places, "places")
-    shapes = places.groupBy("width").agg(F.collect_set("at").alias("ats"))
-    probes = rest.join(shapes, F.length("word") >= F.col("width")).select("word", "width", F.explode("ats").alias("at")).where("length(word) >= at + width - 1").select(
-        "word", "at", "width", F.expr("substring(word, at, width)").alias("piece")
+    # where pieces can lie and how long they are: at most as many pairs as the longest canonical word has places and lengths
+    shapes = sorted((r["at"], r["width"]) for r in places.select("at", "width").distinct().collect())
+    spots = F.array(*[F.struct(F.lit(at).alias("at"), F.lit(width).alias("width")) for at, width in shapes]) if shapes else F.array().cast("array<struct<at:int,width:int>>")
+    probes = rest.select("word", F.explode(F.filter(spots, lambda s: F.length("word") >= s["at"] + s["width"] - 1)).alias("s")).select(
+        "word", "s.at", "s.width", F.expr("substring(word, s.at, s.width)").alias("piece")
     )
     close = (
         probes.join(places, ["at", "width", "piece"]).where("abs(length(word) - n) <= k")

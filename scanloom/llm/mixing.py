@@ -160,8 +160,6 @@ def shares(draws: DataFrame, targets: DataFrame) -> DataFrame:
     got = draws.where("copies > 0").groupBy("source").agg(
         F.sum(F.col("tokens") * F.col("copies")).alias("drawn_tokens"), F.sum("copies").alias("drawn_docs"), F.max("copies").alias("most_copies")
     )
-    total = got.agg(F.sum("drawn_tokens").alias("all_tokens"))
+    total = got.agg(F.sum("drawn_tokens")).first()[0]
     table = targets.select("source", "target_weight").join(got, "source", "left").na.fill(0, ["drawn_tokens", "drawn_docs", "most_copies"])
-    return table.join(F.broadcast(total)).select(
-        "source", "target_weight", F.coalesce(F.col("drawn_tokens") / F.col("all_tokens"), F.lit(0.0)).alias("reached_share"), "drawn_tokens", "drawn_docs", "most_copies"
-    )
+    return table.select("source", "target_weight", (F.col("drawn_tokens") / F.lit(float(total or 1))).alias("reached_share"), "drawn_tokens", "drawn_docs", "most_copies")

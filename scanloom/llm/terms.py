@@ -119,6 +119,6 @@ def marked_terms(df: DataFrame, text_col: str, weight_col: str, min_rows: int =
 
     ``common`` is measured against the rows with non-NULL text.
     """
-    records = df.select(F.count(F.col(text_col)).alias("n_records"))
-    mark = F.when((F.col("n_rows") < min_rows) | (F.col("weight") < min_weight), "rare").when(F.col("n_rows") > F.col("n_records") * common_share, "common")
-    return term_counts(df, text_col, weight_col).crossJoin(F.broadcast(records)).withColumn("mark", mark).drop("n_records")
+    records = df.select(F.count(F.col(text_col))).first()[0]
+    mark = F.when((F.col("n_rows") < min_rows) | (F.col("weight") < min_weight), "rare").when(F.col("n_rows") > records * common_share, "common")
+    return term_counts(df, text_col, weight_col).withColumn("mark", mark)

@@ -480,6 +480,9 @@ def study_members(spark: SparkSession, d: str) -> DataFrame:
         for b in batches:
             out = []
             for vec, plane, label in zip(b["vec_id"], b["embedding"], b["label"]):
+                if plane is None or len(plane) != 64:
+                    out.append((f"M{label}-A-{label}.tgz", "study", f"{vec}.dcm", b"", None))
+                    continue
                 array = np.trunc((np.asarray(plane, np.float64) + 2) * 1000).astype("<u2").reshape(8, 8)
                 tags = {"SeriesDescription": f"view {label}", "SliceLocation": int(vec) // 7, "InstanceNumber": int(vec), "PatientID": f"P{label}", "AccessionNumber": f"N{label}"}
                 out.append((f"M{label}-A-{label}.tgz", "study", f"{vec}.dcm", dicom.build(tags, array), None))

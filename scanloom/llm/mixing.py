@@ -12,7 +12,8 @@ to the nearest token total.
 
 Defined results: documents without tokens, with NULL source or of sources without a target are drawn 0
 times; a target without documents is reported with share 0; a repeat cap of NULL is 1; an empty table
-draws nothing; ties and repeated documents are units of their own.
+draws nothing; ties and repeated documents are units of their own; a source with several targets has the
+largest.
 """
 
 from __future__ import annotations
@@ -99,6 +100,12 @@ def landing(tokens: list[float], probs: list[float], rng: random.Random) -> list
     return out
 
 
+def clean_targets(targets: DataFrame) -> DataFrame:
+    """One row per named source: its largest weight and cap; a NULL weight is 0, a NULL cap 1."""
+    named = targets.where("source is not null").groupBy("source")
+    return named.agg(F.coalesce(F.max(F.col("target_weight").cast("double")), F.lit(0.0)).alias("target_weight"), F.coalesce(F.max("max_repeats"), F.lit(1)).alias("max_repeats"))
+
+
 def plan(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     """One row per target: source, target_weight, max_repeats, docs and tokens at hand, rate and hold.
 
@@ -106,8 +113,7 @@ def plan(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     target that has documents can be reached within its cap.
     """
     have = sizes.where("tokens > 0 and source is not null").groupBy("source").agg(F.count(F.lit(1)).alias("docs"), F.sum("tokens").alias("have"), F.max("tokens").alias("longest"))
-    table = targets.select("source", F.col("target_weight").cast("double").alias("target_weight"), F.coalesce("max_repeats", F.lit(1)).alias("max_repeats"))
-    table = table.join(have, "source", "left").na.fill(0, ["docs", "have", "longest"])
+    table = clean_targets(targets).join(have, "source", "left").na.fill(0, ["docs", "have", "longest"])
     reach = F.when((F.col("have") > 0) & (F.col("target_weight") > 0), F.col("max_repeats") * F.col("have") / F.col("target_weight"))
     total = table.agg(F.min(reach)).first()[0] or 0.0
     rate = F.when(F.col("have") > 0, F.least(F.lit(float(total)) * F.col("target_weight") / F.col("have"), F.col("max_repeats").cast("double"))).otherwise(0.0)
@@ -161,5 +167,5 @@ def shares(draws: DataFrame, targets: DataFrame) -> DataFrame:
         F.sum(F.col("tokens") * F.col("copies")).alias("drawn_tokens"), F.sum("copies").alias("drawn_docs"), F.max("copies").alias("most_copies")
     )
     total = got.agg(F.sum("drawn_tokens")).first()[0]
-    table = targets.select("source", "target_weight").join(got, "source", "left").na.fill(0, ["drawn_tokens", "drawn_docs", "most_copies"])
+    table = clean_targets(targets).join(got, "source", "left").na.fill(0, ["drawn_tokens", "drawn_docs", "most_copies"])
     return table.select("source", "target_weight", (F.col("drawn_tokens") / F.lit(float(total or 1))).alias("reached_share"), "drawn_tokens", "drawn_docs", "most_copies")

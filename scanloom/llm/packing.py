@@ -101,3 +101,14 @@ def packed(sizes: DataFrame, capacity: int, id_col: str = "doc_id") -> DataFrame
     used = F.sum("n_tokens").over(Window.partitionBy("pack_id"))
     bare = pieces.where("length = 0").select(F.lit(-1).cast("bigint").alias("pack_id"), id_col, "part", F.col("start").alias("start_token"), F.lit(0).cast("bigint").alias("n_tokens"), F.lit(0.0).alias("fill"))
     return placed.withColumn("fill", used / F.lit(float(capacity))).union(bare)
+
+
+def packed_kinds(sizes: DataFrame, kinds: list[tuple[str, int]], id_col: str = "doc_id") -> DataFrame:
+    """``packed`` for several (kind, capacity), with ``pack_kind``; no kinds give no packs."""
+    out = None
+    for kind, capacity in kinds:
+        packs = packed(sizes, capacity, id_col).select(F.lit(kind).alias("pack_kind"), "*")
+        out = packs if out is None else out.union(packs)
+    if out is None:
+        out = packed(sizes.limit(0), 1, id_col).select(F.lit("").alias("pack_kind"), "*")
+    return out

@@ -50,11 +50,8 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 def p8_packs(spark: SparkSession, d: str) -> DataFrame:
     """Every document's place in the packs of each capacity, with the pack's fill."""
     sizes = stored(tokens.counted(table(spark, d, "documents"), ("doc_id",)), "sizes")
-    out = None
-    for kind in table(spark, d, "pack_sizes").collect():
-        packs = packing.packed(sizes, kind["capacity_tokens"]).select(F.lit(kind["pack_kind"]).alias("pack_kind"), "*")
-        out = packs if out is None else out.union(packs)
-    return out
+    kinds = table(spark, d, "pack_sizes").where("capacity_tokens >= 1").select("pack_kind", "capacity_tokens").distinct().collect()
+    return packing.packed_kinds(sizes, [(k["pack_kind"], k["capacity_tokens"]) for k in kinds])
 
 
 def p8_fill(spark: SparkSession, d: str) -> DataFrame:

@@ -7,6 +7,8 @@ fingerprints agree with each other, not with manifests other software made.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 
 # Luminosity weights, and the geometry of a fingerprint.
@@ -71,6 +73,7 @@ def to_u8(x: np.ndarray, low: float | None = None, high: float | None = None) ->
     return np.clip((x.astype(np.float64) - low) / (high - low + 1e-8) * 255, 0, 255).astype(np.uint8)
 
 
+@lru_cache(maxsize=64)
 def _weights(n: int, m: int) -> np.ndarray:
     """Rows of triangle-filter weights from n samples to m; the filter widens when shrinking."""
     scale = n / m

@@ -70,6 +70,21 @@ where r.k is not null and not exists (
     return "\nunion all\n".join(parts)
 
 
+def _cascade_sql(rounds: int = 3) -> str:
+    """The cascade unrolled: the foreign keys here are two steps deep, a third round must find nothing."""
+    steps = [f"k0 as materialized (select distinct ref_table tab, row_id, 0 depth from ({_orphan_sql()}))"]
+    for i in range(1, rounds + 1):
+        parts = []
+        for c in ORPHAN_GRAPH:
+            key = (lambda x: x) if c.plain else canonical_id_sql
+            parts.append(
+                f"select '{c.table}' tab, {c.row_id} row_id from {c.table} where {key(c.key)} in (select x.k from (select {key(c.parent_key)} k, {c.parent_row_id} r from {c.parent}) x "
+                f"left join k{i - 1} o on o.tab = '{c.parent}' and o.row_id = x.r where x.k is not null group by x.k having bool_and(o.row_id is not null))"
+            )
+        steps.append(f"k{i} as materialized (select * from k{i - 1} union all select tab, row_id, {i} from (select distinct * from ({' union all '.join(parts)})) n where not exists (select 1 from k{i - 1} o where o.tab = n.tab and o.row_id = n.row_id))")
+    return f'with {", ".join(steps)} select tab as "table", depth::int as depth, count(*)::bigint n_records from k{rounds} group by 1, 2'
+
+
 _WIDE = "".join(map(chr, range(0xFF01, 0xFF5F))) + "\u3000\u03bc"
 _PLAIN = ("".join(map(chr, range(0x21, 0x7F))) + " \u00b5").replace("'", "''")
 
@@ -101,6 +116,7 @@ select row_id, round(arg_min(mt, abs(ln(mt / 1500))))::bigint field_mt from f gr
 
 
 SQL = {
+    "p5_cascade": _cascade_sql(),
     "p6_found": _unit_sql(),
     "p5_found": f"select ref_table, ref_field, row_id, kind from ({_orphan_sql()})",
     "p5_months": f"select ref_table, ref_field, kind, strftime(t, '%Y-%m') as month, count(*)::bigint n_orphans from ({_orphan_sql()}) group by 1, 2, 3, 4",

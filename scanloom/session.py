@@ -21,6 +21,24 @@ DEFAULTS = {
 _WRITTEN: list[str] = []
 
 
+def sized_conf(input_bytes: int, executor_cores: int) -> dict[str, str]:
+    """Settings for a cluster job over so many bytes: scans of 256 MB, shuffles of about 128 MB a partition.
+
+    Twice as many shuffle partitions as the input has blocks of 128 MB, as the operators shuffle up to a
+    few times their input, and a multiple of the cores; adaptive execution joins small ones again.
+    """
+    mb = 1 << 20
+    partitions = max(2 * executor_cores, -(-2 * input_bytes // (128 * mb)))
+    partitions = -(-partitions // executor_cores) * executor_cores
+    return DEFAULTS | {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(256 * mb),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * mb),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 * mb),
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "5000",
+    }
+
+
 def local_session(cores: int | str = 8, memory: str = "8g", **extra: str) -> SparkSession:
     """A local session for tests and benchmarks."""
     conf = DEFAULTS | {"spark.driver.memory": memory, "spark.sql.shuffle.partitions": str(cores)} | extra

@@ -99,7 +99,44 @@ m as (select lower(trim(source_a)) sa, regexp_replace(regexp_replace(file_a, '/+
 e as (select sa || chr(1) || fa a, sb || chr(1) || fb b from m where (sa || fa || sb || fb) is not null)
 """
 
+
+
+def _views_sql() -> str:
+    """The same meaning of values by comparing every distinct word with every canonical one."""
+    words = lambda c: f"regexp_extract_all(lower(regexp_replace({c}, '(\\p{{Ll}})(\\p{{Lu}})', '\\1 \\2', 'g')), '[\\p{{L}}\\p{{Nd}}]+')"
+    joined = lambda c: f"regexp_replace(lower({c}), '[^\\p{{L}}\\p{{Nd}}]+', '', 'g')"
+
+    def digits(w: str) -> str:
+        for digit, name in canonical.DIGIT_WORDS.items():
+            w = f"regexp_replace({w}, '^{name}', '{digit}')"
+        return w
+
+    bare = lambda w: f"left({w}, 1) || regexp_replace(substr({w}, 2), '[aeiou]', '', 'g')"
+    short = lambda w: (
+        f"list_concat(list_transform(range({canonical.LEAST_PREFIX}, len({w})), lambda n: left({w}, n)), "
+        f"case when len({bare(w)}) >= {canonical.LEAST_SKELETON} and {bare(w)} <> {w} then [{bare(w)}] else [] end)"
+    )
+    edits = "case when len(ref) >= 6 then 2 when len(ref) >= 4 then 1 else 0 end"
+    return f"""with vals as (select * from (select map_id, 0 col, series_description t from series_map union all select map_id, 1, cleaned_series_names from series_map) where trim(translate(t, chr(9) || chr(10) || chr(13), '   ')) <> ''),
+base as (select view_id entry, 0 f, {words('view_name')} ws, {joined('view_name')} whole from view_list union all select view_id, 1, {words('view_code')}, {joined('view_code')} from view_list),
+parts as (select *, unnest(ws) w, generate_subscripts(ws, 1) i from base),
+refs as (select entry, f * 2 form, len(ws) slots, len(ws) size, i slot, unnest([w, {digits('w')}]) ref, 0 short from parts
+  union select entry, f * 2 + 1, 1, len(ws), 0, whole, 0 from base
+  union select entry, f * 2 + 1, 1, len(ws), 0, array_to_string(list_concat(ws[:i - 1], [v], ws[i + 1:]), ''), 1 from (select *, unnest(list_concat({short('w')}, [{digits('w')}])) v from parts where len(ws) > 1)),
+known as materialized (select ref, bool_or(form % 2 = 0) single, case when regexp_matches(ref, '\\d') and len(ref) <= 8 then least({edits}, 1) else {edits} end k from refs group by ref),
+tokens as materialized (select t, word, min(p) p from (select t, unnest({words('t')}) word, generate_subscripts({words('t')}, 1) - 1 p from (select distinct t from vals) union all select distinct t, {joined('t')}, 0 from vals) where word <> '' group by all),
+free as (select distinct word from tokens),
+close as (select word, ref, levenshtein(word, ref) d from free join known on abs(len(word) - len(ref)) <= k and levenshtein(word, ref) <= k where word not in (select ref from known) qualify d = min(d) over (partition by word)),
+near as (select word, ref, min(d) d from (select word, word ref, 0 d from free where word in (select ref from known) union all select * from close
+  union all select word, ref, 1 from free join (select ref, unnest({short('ref')}) s from known where single) on s = word) group by all),
+slots as (select t, entry, form, slot, min((d + short, p)) m, max(slots) slots, max(size) size from tokens join near using (word) join refs using (ref) group by all),
+scored as (select t, entry, max(size) size, sum(m[1]) e, min(m[2]) first, max(m[2]) last from slots group by t, entry, form having count(*) = max(slots)),
+meant as (select t, arg_min(entry, (-size, e, last - first, first, entry)) entry from scored group by t)
+select map_id, coalesce(arg_min(entry, col), 0)::bigint view_id from vals left join meant using (t) group by map_id"""
+
+
 SQL = {
+    "p4_found": _views_sql(),
     "p1_found": f"""with {_CODES},
 r as (select row_id, source, relpath, cid from rows join codes using (h)),
 pairs as (select a, b from near union all select cid, cid from codes)

@@ -158,26 +158,33 @@ def refused_codes(edges: DataFrame) -> DataFrame:
 
 
 class History:
-    """The accepted codes, kept as two append-only Parquet tables in ``path``: codes and their pivot table."""
+    """The accepted codes in ``path``: Parquet tables of codes and of their pivot distances, a folder per batch.
+
+    A batch sees the batches before it only and writes its own folders anew, so one that runs again after a
+    failure gives the same result and leaves nothing twice.
+    """
 
     def __init__(self, spark: SparkSession, path: str, max_bits: int = 10):
         self.spark, self.path, self.max_bits = spark, path.rstrip("/"), max_bits
 
-    def _table(self, name: str, schema: str) -> DataFrame:
-        jvm = self.spark._jvm
-        where = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+    def _before(self, name: str, schema: str, batch_no: int) -> DataFrame:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        schema += ", first_batch bigint"
         if not where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}").where(F.col("first_batch") < batch_no)
+
+    def _write(self, name: str, rows: DataFrame, batch_no: int) -> None:
+        rows.drop("first_batch").write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/{name}/first_batch={batch_no}")
 
     def check(self, batch: DataFrame, batch_no: int, id_col: str = "row_id", code_col: str = "fp_hex") -> DataFrame:
-        """(row_id, is_case) of the batch's valid rows; appends the rows that are no case to the history."""
+        """(row_id, is_case) of the batch's valid rows; the rows that are no case become part of the history."""
         max_bits = self.max_bits
         rows = code_rows(batch, id_col, code_col)
         codes = stored(rows.groupBy("code").agg(F.min("row_id").alias("cid")).withColumn("first_batch", F.lit(batch_no).cast("bigint")), "batch")
-        known = self._table("codes", "code binary, cid bigint, first_batch bigint")
+        known = self._before("codes", "code binary, cid bigint", batch_no)
         probes = stored(pivot_table(codes, max_bits), "probes")
-        past = self._table("pivots", "key bigint, cid bigint, first_batch bigint, d0 bigint")
+        past = self._before("pivots", "key bigint, cid bigint, d0 bigint", batch_no)
         pairs = (
             probes.select("key", F.col("cid").alias("a"), F.col("d0").alias("da"))
             .join(past.select("key", F.col("cid").alias("b"), F.col("d0").alias("db")), "key")
@@ -189,13 +196,8 @@ class History:
             .join(near.withColumn("hit", F.lit(True)), "cid", "left")
             .select("row_id", F.coalesce("hit", F.lit(False)).alias("is_case"))
         )
-        fresh = codes.join(near, "cid", "left_anti")
-        fresh.select("code", "cid", "first_batch").write.mode("append").parquet(f"{self.path}/codes")
-        (
-            probes.join(near, "cid", "left_anti").select("key", "cid", "first_batch", "d0")
-            .repartitionByRange("key").sortWithinPartitions("key")
-            .write.mode("append").parquet(f"{self.path}/pivots")
-        )
+        self._write("codes", codes.join(near, "cid", "left_anti"), batch_no)
+        self._write("pivots", probes.join(near, "cid", "left_anti").repartitionByRange("key").sortWithinPartitions("key"), batch_no)
         return result
 
 

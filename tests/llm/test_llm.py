@@ -102,6 +102,8 @@ def test_batches_equal_one_by_one(spark, fp, tmp_path):
     for b in (0, 1, 2, 3):
         got |= {r.row_id for r in kept.check(fp.where(F.col("batch_no") == b), b).collect() if r.is_case}
     assert got == want
+    again = {r.row_id for r in kept.check(fp.where("batch_no = 2"), 2).collect() if r.is_case}  # as after a failure
+    assert again == {i for i in want if i in {r.row_id for r in fp.where("batch_no = 2").collect()}}
     assert kept.check(fp.limit(0), 4).count() == 0
     assert history.batch_cases(fp.limit(0), "batch_no", 10).count() == 0
 

@@ -86,7 +86,9 @@ def near_rows(df: DataFrame, max_bits: int, id_col: str = "row_id", code_col: st
 
     A file is the exact tuple of ``file_cols``; NULL equals NULL there.
     """
-    rows = code_rows(df, id_col, code_col, file_cols).select("row_id", "code", F.xxhash64(*file_cols, *[F.col(c).isNull() for c in file_cols]).alias("fid"))
+    parts = [*file_cols, *[F.col(c).isNull() for c in file_cols]]
+    file_id = F.struct(F.xxhash64(*parts).alias("h"), F.xxhash64(F.lit(1), *parts).alias("g"))  # 128 bits name a file
+    rows = code_rows(df, id_col, code_col, file_cols).select("row_id", "code", file_id.alias("fid"))
     codes = stored(rows.groupBy("code").agg(F.min("row_id").alias("cid"), F.count(F.lit(1)).alias("copies")), "codes")
     near = near_codes(codes, max_bits).select("a", "b")
     members = stored(rows.join(codes, "code").select("row_id", "cid", "fid", "copies"), "members")

@@ -67,22 +67,45 @@ _CUES = {
     "dash": re.compile(r"(?m)^(?:BEGIN;|CREATE TABLE |INSERT INTO |UPDATE \S+ SET |SELECT .* FROM )"),
 }
 
+#: A text with more plain lines than so many times its lines of code is prose.
+MOST_PLAIN = 3
+#: What closes a comment of several lines.
+_BLOCK_ENDS = {'"""': '"""', "/*": "*/"}
 
-def kind_of(text: str) -> str:
-    """``prose``, or the comment style of a code file: ``slash``, ``dash`` or ``hash``."""
-    body = _UNFENCED.sub("", text) if "```" in text or "~~~" in text else text
+
+def _line_counts(body: str) -> tuple[int, int]:
+    """(plain, code): how many lines of the whole text are plain, and of code; those of comments are neither."""
     plain = code = 0
-    for _, line in _lines(body[:20000]):
-        line = line.lstrip("﻿")
-        if not line.strip() or line.lstrip().startswith(("#", "//", "/*", "*", "--")) and not line.startswith("#include"):
+    until, unclosed = -1, set()
+    for at, line in _lines(body):
+        if at < until:
+            continue
+        line = line.lstrip("\ufeff")
+        bare = line.lstrip()
+        if not bare:
+            continue
+        opening = next((x for x in _BLOCK_ENDS if bare.startswith(x)), "")
+        if opening and opening not in unclosed:
+            closing = _BLOCK_ENDS[opening]
+            stop = body.find(closing, body.index(opening, at) + len(opening))
+            if stop >= 0:
+                until = stop + len(closing)
+                continue
+            unclosed.add(opening)
+        if bare.startswith(("#", "//", "/*", "*", "--")) and not line.startswith("#include"):
             continue
         if CODE_LINE.match(line) and not TAG_LINE.match(line):
             code += 1
-            if code >= 3 and code > plain:
-                break
         else:
             plain += 1
-    if code == 0 or (plain > 3 * code and code < 3):
+    return plain, code
+
+
+def kind_of(text: str) -> str:
+    """``prose``, or the comment style of a code file: ``slash``, ``dash`` or ``hash``."""
+    body = _UNFENCED.sub("", text) if "```" in text or "~~~" in text else text
+    plain, code = _line_counts(body)
+    if plain > MOST_PLAIN * code or code == 0:
         if not re.search(r"(?m)^[ \t]*(?://|/\*|--[ \t])", body) or HEADING.match(body.lstrip("﻿")) and not re.search(r"(?m)^[ \t]*(?:/\*)", body):
             return "prose"
     signs = {k: len(r.findall(body)) for k, r in _SIGNS.items()}

@@ -99,6 +99,18 @@ def ordering_place(by: list[str]) -> Column:
     return F.row_number().over(Window.orderBy(*by))
 
 
+_NATURAL_KEY_SQL = """list_transform(regexp_extract_all(series_description, '\\d+|\\D+'), lambda r: case when regexp_matches(r, '^\\d')
+then {'is_text': 0, 'width': greatest(length(ltrim(r, '0')), 1), 'run': coalesce(nullif(ltrim(r, '0'), ''), '0')} else {'is_text': 1, 'width': 0, 'run': r} end)"""
+
+
+@query(f"""select series_description, row_number() over (order by {_NATURAL_KEY_SQL}, series_description)::bigint place
+from (select distinct series_description from metadata_catalog where series_description is not null)""")
+def natural_places(spark: SparkSession, d: str) -> DataFrame:
+    """The place of every series name in natural order."""
+    names = table(spark, d, "metadata_catalog").select("series_description").where("series_description is not null").distinct()
+    return ordering.places(names, [natural.natural_key(F.col("series_description")), F.col("series_description")])
+
+
 # -- names --------------------------------------------------------------------------------------------
 
 

@@ -29,10 +29,11 @@ from pyspark.sql import functions as F
 from ..session import stored
 from .prose import blocks
 
-#: A word enters the model when it has at least this share of its language's periods (or starts): this
-#: bounds each of the model's lists by its inverse per language, whatever the size of the corpus.
-LEAST_SHARE = 1e-5
+#: A word enters the model when it has so many periods (or starts). Every task holds the words with at least
+#: this share of their language's periods (or starts), which bounds each of its lists by the inverse of the
+#: share per language, whatever the size of the corpus; the rarer ones are joined to the stretches that ask for them.
 LEAST_COUNT = 3
+LEAST_SHARE = 1e-5
 ABBREVIATION_SCORE = 0.3
 COLLOCATION_LLR = 7.88
 STARTER_LLR = 30.0
@@ -150,7 +151,7 @@ def statistics(pieces: DataFrame) -> DataFrame:
             yield out()
 
     seen = pieces.select("lang", "text").mapInArrow(run, "lang string, kind string, word string, n bigint")
-    per = seen.groupBy("lang", "kind", "word").agg(F.sum("n").alias("n"))
+    per = stored(seen.groupBy("lang", "kind", "word").agg(F.sum("n").alias("n")), "counts")
     return per.union(per.groupBy("kind", "word").agg(F.sum("n").alias("n")).select(F.lit(POOLED).alias("lang"), "kind", "word", "n"))
 
 
@@ -172,9 +173,9 @@ KINDS = ("plain", "lower", "dot", "dot_low", "dot_num", "dot_up", "dot_other", "
 
 
 def model_table(stats: DataFrame) -> DataFrame:
-    """(lang, word, n, abbreviation, before_number, starter, after_number, lower): the scored words.
+    """(lang, word, dot, starts, abbreviation, before_number, starter, after_number, lower, common): the scored words.
 
-    Only words above the least share stay, so at most 1 / LEAST_SHARE per language and list do.
+    Every word above the least count stays; at most 1 / LEAST_SHARE per language and list are common.
     """
     wide = stats.groupBy("lang", "word").pivot("kind", list(KINDS)).agg(F.sum("n")).na.fill(0)
     total = wide.groupBy("lang").agg(*[F.sum(k).alias("all_" + k) for k in ("plain", "dot", "dot_num", "starts", "after_number")])
@@ -191,29 +192,47 @@ def model_table(stats: DataFrame) -> DataFrame:
     attracts = (F.col("dot_num") * 2 > bound) & (_llr("dot_num", "dot", F.col("all_dot_num") - F.col("dot_num"), F.col("all_dot") - F.col("dot")) > COLLOCATION_LLR)
     starter = _llr("starts", n + F.col("starts"), F.col("all_starts") - F.col("starts"), tokens) > STARTER_LLR
     ordinal = (F.col("after_number") > 0) & (_llr("after_number", n, F.col("all_after_number") - F.col("after_number"), tokens) > COLLOCATION_LLR) & (F.col("after_number") * 2 > F.col("starts"))
-    kept = (
+    kept = (F.col("dot") >= LEAST_COUNT) | (F.col("starts") >= LEAST_COUNT)
+    common = (
         ((F.col("dot") >= LEAST_COUNT) & (F.col("dot") >= F.col("all_dot") * LEAST_SHARE))
         | ((F.col("starts") >= LEAST_COUNT) & (F.col("starts") >= F.col("all_starts") * LEAST_SHARE))
     )
     return w.where(kept).select(
         "lang", "word", "dot", "starts", (abbreviation > ABBREVIATION_SCORE).alias("abbreviation"), attracts.alias("before_number"),
-        starter.alias("starter"), ordinal.alias("after_number"), (F.col("lower") > 0).alias("lower"),
+        starter.alias("starter"), ordinal.alias("after_number"), (F.col("lower") > 0).alias("lower"), common.alias("common"),
     )
 
 
+_SCORES = ("dot", "starts", "abbreviation", "before_number", "starter", "after_number", "lower")
+
+
 class Model:
-    """The learned words, by language with the pool behind it."""
+    """The learned words, by language with the pool behind it; ``rare`` are those of the stretch at hand."""
 
     def __init__(self, rows: list):
-        self.words: dict[str, dict[str, tuple]] = {}
+        self.words = self._by_language(rows)
+        self.rare: dict[str, dict[str, tuple]] = {}
+
+    @staticmethod
+    def _by_language(rows: list) -> dict[str, dict[str, tuple]]:
+        words: dict[str, dict[str, tuple]] = {}
         for r in rows:
-            self.words.setdefault(r["lang"], {})[r["word"]] = (r["dot"], r["starts"], r["abbreviation"], r["before_number"], r["starter"], r["after_number"], r["lower"])
+            words.setdefault(r["lang"], {})[r["word"]] = tuple(r[k] for k in _SCORES)
+        return words
+
+    def at(self, rows: list | None) -> Model:
+        """The model for a stretch that these rare words are joined to."""
+        self.rare = self._by_language(rows) if rows else {}
+        return self
+
+    def _row(self, lang: str, word: str) -> tuple | None:
+        return self.words.get(lang, {}).get(word) or self.rare.get(lang, {}).get(word)
 
     def _get(self, lang: str, word: str, count: int, flag: int) -> bool:
-        own = self.words.get(lang, {}).get(word)
+        own = self._row(lang, word)
         if own is not None and own[count] >= 20:
             return own[flag]
-        pooled = self.words.get(POOLED, {}).get(word)
+        pooled = self._row(POOLED, word)
         return bool(own and own[flag]) or bool(pooled and pooled[flag])
 
     def abbreviation(self, lang: str, word: str) -> bool:
@@ -230,6 +249,21 @@ class Model:
         return self._get(lang, word.lower(), 1, 5)
 
 
+class _Asked(Model):
+    """Notes the words that decisions ask for and the common words lack.
+
+    Every answer is yes: then a decision asks for all the words it may need.
+    """
+
+    def __init__(self, words: dict[str, dict[str, tuple]]):
+        super().__init__([])
+        self.words, self.asked = words, set()
+
+    def _get(self, lang: str, word: str, count: int, flag: int) -> bool:
+        self.asked.update((x, word) for x in (lang, POOLED) if word not in self.words.get(x, {}))
+        return True
+
+
 def _ends(text: str, a: int, b: int, c: int, mark: str, lang: str, model: Model) -> bool:
     """Whether the mark at a (closers to b, blanks to c) ends a sentence."""
     closed, gap = b > a + len(mark), c > b
@@ -306,21 +340,46 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     return docs.select(id_col, lang_col, text_col).mapInArrow(run, schema)
 
 
+def rare_words(found: DataFrame, model: Model, rare: DataFrame) -> DataFrame:
+    """(piece, rare): the rows of ``rare`` that the decisions in each stretch may need, for stretches that need any."""
+    words = model.words
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, langs, asked = [], [], []
+            for i, (lang, text) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+                notes = _Asked(words)
+                for period in _periods(text):
+                    _ends(text, *period, lang, notes)
+                for x, word in notes.asked:
+                    at.append(i), langs.append(x), asked.append(word)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int32())), pa.array(langs, pa.string()), pa.array(asked, pa.string())], names=["piece", "lang", "word"])
+
+    wanted = found.select("piece", "lang", "text").mapInArrow(run, "piece bigint, lang string, word string")
+    return wanted.join(rare, ["lang", "word"]).groupBy("piece").agg(F.collect_list(F.struct("lang", "word", *_SCORES)).alias("rare"))
+
+
 def sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(doc_id, start_pos, end_pos): code point offsets of every sentence, end exclusive."""
-    found = stored(pieces(docs, id_col, text_col, lang_col), "prose")
-    model = Model(model_table(statistics(found)).collect())
+    found = stored(pieces(docs, id_col, text_col, lang_col).withColumn("piece", F.monotonically_increasing_id()), "prose")
+    scored = stored(model_table(statistics(found)), "model")
+    model = Model(scored.where("common").collect())
+    rare = scored.where("not common")
+    if rare.isEmpty():
+        found = found.withColumn("rare", F.lit(None))
+    else:
+        found = found.join(rare_words(found, model, rare), "piece", "left")
     schema = f"doc_id {dict(docs.dtypes)[id_col]}, start_pos bigint, end_pos bigint"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, starts, ends = [], [], []
-            for i, (lang, start, text) in enumerate(zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)))):
-                for a, b in split(text, lang, model):
+            for i, (lang, start, text, rows) in enumerate(zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4)))):
+                for a, b in split(text, lang, model.at(rows)):
                     ids.append(i), starts.append(start + a), ends.append(start + b)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(ids, pa.int32())), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())],
                 names=["doc_id", "start_pos", "end_pos"],
             )
 
-    return found.mapInArrow(run, schema)
+    return found.select("doc_id", "lang", "start", "text", "rare").mapInArrow(run, schema)

@@ -33,14 +33,19 @@ def frame_pairs(rows: DataFrame, near: DataFrame) -> DataFrame:
     )
 
 
-def file_pairs(pairs: DataFrame, rows: DataFrame, min_series: int = MIN_SERIES, new_sources: list[str] | None = None) -> DataFrame:
+def file_pairs(pairs: DataFrame, rows: DataFrame, min_series: int = MIN_SERIES, new_sources: DataFrame | None = None) -> DataFrame:
     """The duplicate manifest: one row per file pair with enough matching series.
 
     Matching series are counted on the first file. The fraction is over the smaller file, may exceed 1,
-    and is rounded half to even. The example is the closest pair of series, ties by name.
+    and is rounded half to even. The example is the closest pair of series, ties by name. With a table of
+    new sources (source) only pairs with a file of one of them stay.
     """
     if new_sources is not None:
-        pairs = pairs.where(F.col("file_a.source").isin(new_sources) | F.col("file_b.source").isin(new_sources))
+        new = new_sources.select("source").distinct()
+        for side in ("a", "b"):
+            marked = new.select(F.col("source").alias(f"new_{side}"))
+            pairs = pairs.join(marked, F.col(f"file_{side}.source") == F.col(f"new_{side}"), "left")
+        pairs = pairs.where("new_a is not null or new_b is not null").drop("new_a", "new_b")
     counts = rows.groupBy(F.struct("source", "relpath").alias("f")).agg(F.countDistinct("series").alias("n"))
     rolled = pairs.groupBy("file_a", "file_b").agg(
         F.countDistinct("series_a").alias("matching_series"), F.sum("frames").alias("matching_frames"),

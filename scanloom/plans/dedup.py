@@ -50,7 +50,7 @@ def report(manifest: DataFrame, reference: DataFrame | None = None, threshold: f
     new_sources = None
     rows = manifest.select(*rollup.MANIFEST)
     if reference is not None:
-        new_sources = [r[0] for r in manifest.select("source").distinct().limit(10_000).collect()]
+        new_sources = manifest.select("source")
         rows = rows.union(reference.select(*rollup.MANIFEST))
     hamming_join.guard_width(rows)
     valid = hamming_join.valid_codes(rows).withColumn("row_id", F.monotonically_increasing_id())

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scanloom.operators import ordering
-from scanloom.plans import tables
+from scanloom.plans import dedup, tables
 from tests.compare import same_rows
 
 DATA = "/root/testdata"
@@ -47,3 +47,15 @@ def test_places_of_the_catalog(spark):
     names = set(pq.read_table(f"{DATA}/sf0.1/metadata_catalog.parquet", columns=["series_description"]).column(0).to_pylist()) - {None}
     assert found.count() == len(names) > 100
     same_rows(found, tables.SQL["natural_places"], f"{DATA}/sf0.1")
+
+
+def test_pairs_of_more_than_10000_sources(spark):
+    n, rng = 10_050, random.Random(11)
+    columns = "source string, relpath string, mrn string, accession string, series string, frame_pos string, n_frames int, fp_hex string"
+    series = ("m", "a", "x", "first", 1)
+    codes = [f"{rng.getrandbits(1024):0256x}" for _ in range(n + 1)]
+    manifest = spark.createDataFrame([(f"s{i}", f"f{i}", *series, codes[i]) for i in range(n)], columns)
+    reference = spark.createDataFrame([("old", f"r{i}", *series, codes[i]) for i in range(n + 1)] + [("older", "q", *series, codes[n])], columns)
+    duplicates, _ = dedup.report(manifest, reference, min_series=1)
+    got = {(r.source_a, r.file_a, r.source_b, r.file_b) for r in duplicates.collect()}
+    assert got == {("old", f"r{i}", f"s{i}", f"f{i}") for i in range(n)}

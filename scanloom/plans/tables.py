@@ -207,6 +207,14 @@ def scan_duplicates(spark: SparkSession, d: str) -> DataFrame:
     return crosswalk.repeated_rows(df.where("batch_no = 3"), df.where("batch_no < 3"), "a").select("row_id")
 
 
+@query(f"""select row_id from ({_COPY}) n join (select a, min(batch_no) first from ({_COPY}) where a is not null and batch_no is not null group by a) p using (a) where batch_no > first""")
+def scan_repeats(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of every batch whose scan an earlier batch has."""
+    df = table(spark, d, "copy_crosswalk").select("row_id", "batch_no", canonical_id(F.col("anon_accession")).alias("a")).where("a is not null and batch_no is not null")
+    first = df.groupBy("a").agg(F.min("batch_no").alias("first"))
+    return df.join(first, "a").where("batch_no > first").select("row_id")
+
+
 @query("""select mrn, accession, xw_id from (select *, row_number() over (partition by mrn, accession order by xw_id) rn from archive_crosswalk) where rn = 1""")
 def first_rows(spark: SparkSession, d: str) -> DataFrame:
     """The first crosswalk row of each study, in input order."""

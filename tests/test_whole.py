@@ -59,3 +59,11 @@ def test_pairs_of_more_than_10000_sources(spark):
     duplicates, _ = dedup.report(manifest, reference, min_series=1)
     got = {(r.source_a, r.file_a, r.source_b, r.file_b) for r in duplicates.collect()}
     assert got == {("old", f"r{i}", f"s{i}", f"f{i}") for i in range(n)}
+
+
+def test_repeats_of_every_batch(spark, tmp_path):
+    ids = [("A1", 0), ("B1", 1), ("A1", 1), ("B1", 2), ("C1", 4), ("C1", 4), ("C1", 11), (None, 5), (None, 6), ("A1", None), ("D1", 3), ("A1", 3)]
+    pq.write_table(pa.table({"row_id": list(range(len(ids))), "batch_no": [b for _, b in ids], "anon_accession": [x for x, _ in ids]}), f"{tmp_path}/copy_crosswalk.parquet")
+    found = tables.QUERIES["scan_repeats"](spark, str(tmp_path))
+    assert sorted(r.row_id for r in found.collect()) == [2, 3, 6, 11]
+    same_rows(found, tables.SQL["scan_repeats"], str(tmp_path))

@@ -3,11 +3,11 @@
 Each accepted code is stored once with its distances to fixed pivots, taken over disjoint segments of
 the bits. By the pigeonhole principle codes within k bits are equal (distance 0) on one of k + 1
 segments, and there, by the triangle inequality, their distances to every pivot are equal too; over
-whole codes the distances to a pivot differ by at most k. So the table is range-partitioned and sorted
-by (segment, pivot distances), probes join on that key, a second pivot test over the whole code prunes
-within the key, and what remains is verified by the true distance. A batch reads the narrow pivot
-table of the history and the codes of its few candidates; the history itself is never compared with
-itself again. Accepted codes are appended.
+whole codes the distances to a pivot differ by at most k. So the table is written range-partitioned and
+sorted by (segment, pivot distances), probes join on that key by hash, a second pivot test over the
+whole code prunes within the key, and what remains is verified by the true distance. A batch reads the
+narrow pivot table of the history and, to verify its candidates, the history's codes; the history
+itself is never compared with itself again. Accepted codes are appended.
 
 Defined results: rows with an invalid code (NULL, empty, another width, not hex, all zero) or a NULL
 batch are never a case and never accepted. Rows of one batch are not compared with each other.

@@ -539,6 +539,13 @@ def fingerprints(spark: SparkSession, d: str) -> DataFrame:
     return dedup.fingerprint_manifest(frames, series, "store")
 
 
+@query()
+def preprocess_sized(spark: SparkSession, d: str) -> DataFrame:
+    """Grey frames of the store at a frame size: resized and cropped to the centre."""
+    frames, _, _ = preprocess.run(study_members(spark, d), preprocess.Options("medstar", frame_size=12, channels="grey"))
+    return frames.select("series", "frame_idx", "h", "w", F.lower(F.hex("pixels")).alias("pixels"))
+
+
 @query("select 'M' || label mrn, 'A-' || label accession, 'view_' || label series_description, (arg_min(vec_id, vec_id) // 7)::varchar frame_loc, null::varchar scanner, null::varchar field_strength from embeddings group by label")
 def metadata_scan(spark: SparkSession, d: str) -> DataFrame:
     """The metadata catalogue of the first file of each series."""

@@ -67,3 +67,31 @@ def test_repeats_of_every_batch(spark, tmp_path):
     found = tables.QUERIES["scan_repeats"](spark, str(tmp_path))
     assert sorted(r.row_id for r in found.collect()) == [2, 3, 6, 11]
     same_rows(found, tables.SQL["scan_repeats"], str(tmp_path))
+
+
+def test_sized_frames_equal_brute_force(spark, tmp_path):
+    rng = random.Random(2)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(64)], i % 3) for i in range(30)]
+    kinds = pa.schema([("vec_id", pa.int64()), ("embedding", pa.list_(pa.float32())), ("label", pa.int32())])
+    pq.write_table(pa.table({c: [r[k] for r in rows] for k, c in enumerate(kinds.names)}, kinds), f"{tmp_path}/embeddings.parquet")
+    stored = pq.read_table(f"{tmp_path}/embeddings.parquet").column("embedding").to_pylist()
+
+    def at(line, k):  # bilinear between the centres of 8 samples at place k of 12
+        x = (k + 0.5) * 8 / 12
+        near = [(max(0.0, 1 - abs(j + 0.5 - x)), v) for j, v in enumerate(line)]
+        return sum(w * v for w, v in near) / sum(w for w, _ in near)
+
+    def fitted(plane):
+        wide = [[at(plane[r * 8 : r * 8 + 8], k) for k in range(12)] for r in range(8)]
+        tall = [[at([row[c] for row in wide], k) for c in range(12)] for k in range(12)]
+        return [tall[r][c] for r in range(2, 11) for c in range(2, 11)]  # 9 of 12; the odd pixel goes off the first side
+
+    want = {}
+    for label in range(3):
+        planes = [fitted([int((x + 2) * 1000) for x in stored[i]]) for i, _, k in rows if k == label]
+        low, high = min(map(min, planes)), max(map(max, planes))
+        want |= {(f"view_{label}", n): [(x - low) / (high - low) * 255 for x in p] for n, p in enumerate(planes)}
+    got = {(r.series, r.frame_idx): r for r in tables.QUERIES["preprocess_sized"](spark, str(tmp_path)).collect()}
+    assert got.keys() == want.keys() and {(r.h, r.w) for r in got.values()} == {(9, 9)}
+    for key, r in got.items():
+        assert all(x <= v + 0.01 and v <= x + 1.01 for x, v in zip(bytes.fromhex(r.pixels), want[key]))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -57,6 +58,14 @@ def scattered_masks(blocks: int, stride: int = 1, n: int = LANES) -> list[list[i
     return [[signed(m) for m in row] for row in masks]
 
 
+def mixed_masks(blocks: int, seed: int, n: int = LANES) -> list[list[int]]:
+    """Lane masks of ``blocks`` groups of nearly equal size that partition the bits in a random order, the same for a seed."""
+    masks = [[0] * n for _ in range(blocks)]
+    for i, p in enumerate(random.Random(seed).sample(range(64 * n), 64 * n)):
+        masks[i % blocks][p // 64] |= 1 << (63 - p % 64)
+    return [[signed(m) for m in row] for row in masks]
+
+
 def mask_literal(masks: list[list[int]]) -> Column:
     """array<struct<block, m0..>> to explode: one row per group."""
     return F.array(*[

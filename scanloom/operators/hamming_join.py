@@ -1,7 +1,8 @@
-"""Near-duplicate codes by contiguous bands, as the perceptual duplicate report computes them.
+"""Near-duplicate codes of the perceptual duplicate report.
 
-This is the report's own candidate search, with its bucket limit and the recall that costs; the limit
-can be lifted with None. Identical codes collapse to one representative first.
+Without a bucket limit the pairs come from scattered pigeonhole blocks (see ``pigeonhole``), all of them.
+With a limit they come from the report's own contiguous bands, whose buckets over the limit are left out
+and reported, and the recall that costs. Identical codes collapse to one representative first.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bits
 from ..session import stored
+from .pigeonhole import near_lanes
 
 
 def valid_codes(df: DataFrame, col: str = "fp_hex", digits: int = 256) -> DataFrame:
@@ -50,16 +52,25 @@ def candidate_pairs(codes: DataFrame, n_bands: int, max_bucket: int | None, widt
 
 def near_codes(rows: DataFrame, id_col: str, code_col: str, max_bits: int, max_bucket: int | None = None, bits_wide: int = bits.CODE_BITS) -> DataFrame:
     """(a, b, dist) of distinct codes within ``max_bits``; a and b are the smallest row ids of the codes."""
-    n = bits.band_count(max_bits)
     lanes = bits_wide // 64
-    codes = stored(rows.groupBy(F.col(code_col).alias("code")).agg(F.min(id_col).alias("cid"), F.count(F.lit(1)).alias("n")), "codes")
-    pairs, _ = candidate_pairs(codes, n, max_bucket, bits_wide // 8)
+    codes = rows.groupBy(F.col(code_col).alias("code")).agg(F.min(id_col).alias("cid"), F.count(F.lit(1)).alias("n"))
+    if max_bucket is None:
+        return near_lanes(stored(codes.select("cid", *bits.lanes(F.col("code"), lanes)), "lanes"), max_bits)
+    codes = stored(codes, "codes")
+    pairs, _ = candidate_pairs(codes, bits.band_count(max_bits), max_bucket, bits_wide // 8)
     wide = codes.select("cid", *bits.lanes(F.col("code"), lanes))
     a = wide.select(F.col("cid").alias("a"), *[F.col(f"l{i}").alias(f"a_l{i}") for i in range(lanes)])
     b = wide.select(F.col("cid").alias("b"), *[F.col(f"l{i}").alias(f"b_l{i}") for i in range(lanes)])
     return pairs.join(a, "a").join(b, "b").select("a", "b", bits.distance("a_", "b_", lanes).alias("dist")).where(F.col("dist") <= max_bits)
 
 
+def skipped_buckets(rows: DataFrame, id_col: str, code_col: str, max_bits: int, max_bucket: int, bits_wide: int = bits.CODE_BITS) -> DataFrame:
+    """(unit, status, detail): the buckets that ``near_codes`` with this limit leaves out, as outcomes."""
+    codes = rows.groupBy(F.col(code_col).alias("code")).agg(F.min(id_col).alias("cid"), F.count(F.lit(1)).alias("n"))
+    _, skipped = candidate_pairs(codes, bits.band_count(max_bits), max_bucket, bits_wide // 8)
+    return skipped.select(F.hex("key").alias("unit"), F.lit("bucket_skipped").alias("status"), F.concat(F.col("frames").cast("string"), F.lit(" frames")).alias("detail"))
+
+
 def near_bit_strings(df: DataFrame, id_col: str, bits_col: str, max_bits: int, width: int = 64) -> DataFrame:
     """(id_a, id_b, dist) of short bit strings within ``max_bits``, by bands cut at bit positions."""
     n = max_bits + 1

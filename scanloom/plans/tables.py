@@ -614,7 +614,7 @@ def dup_rollup(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""with recursive {_ROLLUP}, e as (select fa a, fb b from rolled union select fb, fa from rolled), w as (select a n, a r from e union select e.b, w.r from w join e on e.a = w.n and w.r < e.b),
 b as (select n, min(r) g from w group by n), pn as (select a n, count(distinct b) k from e group by 1)
-select b.n[1] source, b.n[2] relpath, dense_rank() over (order by g)::int cluster_id, k::bigint n_partners from b join pn on pn.n = b.n""")
+select b.n[1] source, b.n[2] relpath, dense_rank() over (order by g)::bigint cluster_id, k::bigint n_partners from b join pn on pn.n = b.n""")
 def dup_flagged(spark: SparkSession, d: str) -> DataFrame:
     """Flagged files with their clusters and numbers of partners."""
     _, flagged = rollup.clustered(_file_pairs(spark, d))
@@ -623,7 +623,7 @@ def dup_flagged(spark: SparkSession, d: str) -> DataFrame:
 
 @query("""with recursive e as (select distinct file_a a, file_b b from dup_manifest where file_a is not null and file_b is not null), u as (select a, b from e union select b, a from e),
 w as (select a n, a r from u union select u.b, w.r from w join u on u.a = w.n and w.r < u.b), b as (select n, min(r) g from w group by n)
-select n node, dense_rank() over (order by g)::int cluster_id from b""")
+select n node, dense_rank() over (order by g)::bigint cluster_id from b""")
 def dup_clusters(spark: SparkSession, d: str) -> DataFrame:
     """Clusters of matched paths, numbered by their smallest path."""
     edges = table(spark, d, "dup_manifest").select(F.col("file_a").alias("a"), F.col("file_b").alias("b"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 #: Settings that hold at every size; cluster deployments override them at submit time.
 DEFAULTS = {
@@ -80,6 +81,16 @@ def cut(df: DataFrame, drop: tuple[DataFrame, ...] = ()) -> DataFrame:
     return out
 
 
+def cut_counted(df: DataFrame, counted: Column, drop: tuple[DataFrame, ...] = ()) -> tuple[DataFrame, int]:
+    """``cut`` and the number of rows where ``counted`` holds, counted while they are written.
+
+    A task that runs twice may count twice; that no row holds is exact.
+    """
+    seen = Observation()
+    out = cut(df.observe(seen, F.count_if(counted).alias("n")), drop)
+    return out, seen.get["n"]
+
+
 def remove(df: DataFrame) -> None:
     """Deletes the table behind a result of ``cut`` or ``stored``; the frame can't be read afterwards."""
     path = getattr(df, "_written_to", None)

@@ -2,9 +2,10 @@
 
 Every component selects its smallest outgoing edge. As the order of edges is total and the same seen
 from both ends, the selected edges form trees with exactly one mutual pair each; the smaller end of
-that pair becomes the root. Trees collapse by pointer doubling, the remaining edges take the labels of
+that pair becomes the root. Trees collapse by pointer jumping, the remaining edges take the labels of
 their components and repeated ones drop out, until no edge is left. Components at least halve in each
-round, so rounds grow with the logarithm of the largest group, also for long chains and stars.
+round, so rounds grow with the logarithm of the largest group, also for long chains and stars. The rounds
+are those of ``operators.components``, which the duplicate report of the core uses too.
 
 Defined results: edges with a NULL end are ignored; a self edge makes its node a group of its own;
 repeated and reversed edges count once; no edges give an empty result.
@@ -15,64 +16,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import labels, ordered_ids
 from ..session import cut
 
 
-def _selected(edges: DataFrame) -> DataFrame:
-    """(v, p): for each component the other end of its smallest edge; edges (a, b) have a < b.
-
-    The order of edges is (a, b) itself, and the smallest edge of v in it is the one to v's smallest
-    neighbour. A hub is combined on the map side, so it never meets in one task.
-    """
-    both = edges.select(F.col("a").alias("v"), F.col("b").alias("w")).union(edges.select("b", "a"))
-    return both.groupBy("v").agg(F.min("w").alias("p"))
-
-
-def _roots(parents: DataFrame) -> DataFrame:
-    """(v, p) with p the root of v's tree: breaks mutual pairs, then doubles pointers."""
-    other = parents.select(F.col("v").alias("p"), F.col("p").alias("pp"))
-    tree = cut(
-        parents.join(other, "p").select(
-            "v", F.when((F.col("pp") == F.col("v")) & (F.col("v") < F.col("p")), F.col("v")).otherwise(F.col("p")).alias("p")
-        )
-    )
-    while True:
-        up = tree.select(F.col("v").alias("p"), F.col("p").alias("pp"))
-        tree = cut(tree.select("v", "p").join(up, "p").select("v", F.col("pp").alias("p"), (F.col("pp") != F.col("p")).alias("moved")), drop=(tree,))
-        if not tree.where("moved").head(1):
-            return tree
-
-
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) for every node of an edge; component is the smallest node of its group."""
-    raw = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a is not null and b is not null")
-    raw = raw.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    live = cut(raw)
-    label = cut(live.select(F.col("a").alias("node")).union(live.select(F.col("b").alias("node"))).distinct().withColumn("c", F.col("node")))
-    live = cut(live.where("a <> b"), drop=(live,))
-    while live.head(1):
-        roots = _roots(_selected(live))
-        label = cut(label.join(roots.select(F.col("v").alias("c"), "p"), "c", "left").select("node", F.coalesce("p", "c").alias("c")), drop=(label,))
-        nxt = (
-            live.join(roots.select(F.col("v").alias("a"), F.col("p").alias("ra")), "a", "left")
-            .join(roots.select(F.col("v").alias("b"), F.col("p").alias("rb")), "b", "left")
-            .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
-            .where("a <> b")
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            .distinct()
-        )
-        live = cut(nxt, drop=(live, roots))
-    smallest = label.groupBy("c").agg(F.min("node").alias("component"))
-    return label.join(smallest, "c").select("node", "component")
-
-
-def ordered_ids(keys: DataFrame, by: list[str], id_col: str = "nid") -> DataFrame:
-    """Distinct ``keys`` with a long id in the order of ``by`` (code points for text).
-
-    Rows are range-partitioned and sorted, and an id is partition number and position: no task sees
-    more than its range. Cut at once, as ids of a recomputed plan could differ.
-    """
-    return cut(keys.distinct().orderBy(*by).withColumn(id_col, F.monotonically_increasing_id()))
+    return labels(edges, a, b).withColumnRenamed("label", "component")
 
 
 def clean_source(text):

@@ -2,12 +2,12 @@
 
 Two codes that differ in at most k of their bits agree on at least one of k + 1 disjoint groups of
 bits. Codes are joined on (group, bits of the group) and the survivors verified by the exact Hamming
-distance, so every pair within the bound is found and none beyond it.
+distance, so every pair within the bound is found and none beyond it (``operators.pigeonhole``).
 
-Copies of a code collapse to one representative before the join. Groups are scattered over the code
-(see ``bits.scattered_masks``). A bucket with more than ``HOT_BUCKET`` representatives is split by a
-second, differently scattered partition of the bits: a pair in it must agree on one of those groups
-too, so the split loses nothing. No bucket is skipped or capped.
+Copies of a code collapse to one representative before the join. Groups are scattered over the code. A
+bucket with more than ``HOT_BUCKET`` representatives is split by other partitions of the bits, again
+and again while that thins it out: a pair in it must agree on one of those groups too, so a split loses
+nothing. No bucket is skipped or capped.
 
 Defined results: rows whose code is NULL, empty, of another width, not hex or all zero take no part;
 an empty table gives empty results; extra columns are ignored; repeated rows are rows of their own.
@@ -15,15 +15,13 @@ an empty table gives empty results; extra columns are ignored; repeated rows are
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import bits
+from ..operators.pigeonhole import HOT_BUCKET, near_lanes
 from ..session import stored
 
-#: Representatives in a bucket beyond which it is split again. A setting of speed, not of results.
-HOT_BUCKET = 24
-
 
 def code_rows(df: DataFrame, id_col: str, code_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """(row_id, code binary, kept columns) of the rows with a valid code."""
@@ -32,47 +30,13 @@ def code_rows(df: DataFrame, id_col: str, code_col: str, keep: tuple[str, ...] =
     )
 
 
-def _keys(df: DataFrame, id_col: str, masks: list[list[int]], prefix: Column | None = None) -> DataFrame:
-    names = [f"l{i}" for i in range(bits.LANES)]
-    wide = df.select(id_col, *([prefix.alias("pre")] if prefix is not None else []), *names, F.explode(bits.mask_literal(masks)).alias("m"))
-    parts = [F.col("m.block")] + [F.col(n).bitwiseAND(F.col(f"m.m{i}")) for i, n in enumerate(names)]
-    if prefix is not None:
-        parts.insert(0, F.col("pre"))
-    return wide.select(F.xxhash64(*parts).alias("key"), id_col)
-
-
-def _shared(keys: DataFrame, id_col: str) -> DataFrame:
-    """The key rows whose key at least two ids have, with the number ``n`` of ids."""
-    counted = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return keys.join(counted, "key")
-
-
-def _meet(keys: DataFrame, id_col: str) -> DataFrame:
-    a = keys.select("key", F.col(id_col).alias("a"))
-    b = keys.select("key", F.col(id_col).alias("b"))
-    return a.join(b, "key").where("a < b").select("a", "b")
-
-
 def near_codes(codes: DataFrame, max_bits: int, id_col: str = "cid", code_col: str = "code", hot: int = HOT_BUCKET) -> DataFrame:
     """Pairs (a, b, dist), a < b, of distinct codes within ``max_bits``.
 
     ``codes`` has one row per distinct code: an id and the code as binary of 128 bytes.
     """
-    blocks = bits.band_count(max_bits)
-    wide = codes.select(id_col, F.hex(code_col).alias("h")).select(id_col, *bits.lanes(F.col("h")))
-    wide = stored(wide, "lanes")
-    shared = stored(_shared(_keys(wide, id_col, bits.scattered_masks(blocks)), id_col), "keys")
-    plain = _meet(shared.where(F.col("n") <= hot), id_col)
-    crowded = shared.where(F.col("n") > hot).select("key", id_col).join(wide, id_col)
-    again = _shared(_keys(crowded, id_col, bits.scattered_masks(blocks, stride=blocks), F.col("key")), id_col)
-    pairs = plain.union(_meet(again, id_col)).distinct()
-    left = wide.select(F.col(id_col).alias("a"), *[F.col(f"l{i}").alias(f"a_l{i}") for i in range(bits.LANES)])
-    right = wide.select(F.col(id_col).alias("b"), *[F.col(f"l{i}").alias(f"b_l{i}") for i in range(bits.LANES)])
-    return (
-        pairs.join(left, "a").join(right, "b")
-        .select("a", "b", bits.distance("a_", "b_").alias("dist"))
-        .where(F.col("dist") <= max_bits)
-    )
+    wide = codes.select(F.col(id_col).alias("cid"), F.hex(code_col).alias("h")).select("cid", *bits.lanes(F.col("h")))
+    return near_lanes(stored(wide, "lanes"), max_bits, hot=hot)
 
 
 def representatives(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -50,20 +50,23 @@ def _pairs(n: str) -> Column:
     return F.col(n).cast("double") * (F.col(n) - 1) / 2
 
 
-def _thinned(shared: DataFrame, hot: int) -> DataFrame:
+def _thinned(shared: DataFrame) -> DataFrame:
     """(pre): the buckets that their split thins out to at most half of the pairs; ``shared`` has (pre, was, key, n)."""
     keys = shared.groupBy("pre", "was", "key").agg(F.first("n").alias("n"))
     sums = keys.groupBy("pre", "was").agg(F.sum(_pairs("n")).alias("after"))
     return sums.where(F.col("after") * 2 <= _pairs("was")).select("pre")
 
 
-def bucket_rows(wide: DataFrame, id_col: str, blocks: int, hot: int = HOT_BUCKET) -> DataFrame:
-    """(key, id): codes that share a key are the ones to compare. ``wide`` has the id and lanes l0, l1, .. and is written."""
-    lanes = sum(c.startswith("l") and c[1:].isdigit() for c in wide.columns)
-    keys = stored(_group_keys(wide, id_col, bits.scattered_masks(blocks, 1, lanes)), "keys")
-    shared = stored(shared_keys(keys).select("key", id_col, "n"), "shared")
-    ready, crowded = [shared.where(F.col("n") <= hot).select("key", id_col)], shared.where(F.col("n") > hot)
-    level = 0
+def _lane_count(wide: DataFrame) -> int:
+    return sum(c.startswith("l") and c[1:].isdigit() for c in wide.columns)
+
+
+def split_rows(crowded: DataFrame, wide: DataFrame, id_col: str, blocks: int, hot: int = HOT_BUCKET) -> list[DataFrame]:
+    """[(key, id)]: finer buckets for the crowded ones (key, id, n) that keep every pair within the bound together.
+
+    ``crowded`` and ``wide`` are written tables; ``wide`` has the lanes of the ids.
+    """
+    lanes, ready, level = _lane_count(wide), [], 0
     while crowded.head(1):
         level += 1
         masks = bits.scattered_masks(blocks, blocks, lanes) if level == 1 else bits.mixed_masks(blocks, level, lanes)
@@ -73,19 +76,26 @@ def bucket_rows(wide: DataFrame, id_col: str, blocks: int, hot: int = HOT_BUCKET
         shared = shared_keys(keys).join(crowded.groupBy(F.col("key").alias("pre")).agg(F.first("n").alias("was")), "pre")
         shared = stored(shared, "shared")
         # a bucket whose codes share no key of the split has no pair within the bound, and drops out
-        split = shared.select("pre").distinct()
-        thinned = stored(_thinned(shared, hot), "thinned")
-        dense = crowded.join(split.join(thinned, "pre", "left_anti").withColumnRenamed("pre", "key"), "key", "left_semi")
-        ready.append(dense.select("key", id_col))
+        thinned = stored(_thinned(shared), "thinned")
+        dense = shared.select("pre").distinct().join(thinned, "pre", "left_anti").withColumnRenamed("pre", "key")
+        ready.append(crowded.join(dense, "key", "left_semi").select("key", id_col))
         finer = stored(shared.join(thinned, "pre", "left_semi").select("key", id_col, "n"), "finer")
         ready.append(finer.where(F.col("n") <= hot).select("key", id_col))
         crowded = finer.where(F.col("n") > hot)
-    return reduce(DataFrame.union, ready)
+    return ready
+
+
+def bucket_rows(wide: DataFrame, id_col: str, blocks: int, hot: int = HOT_BUCKET) -> DataFrame:
+    """(key, id): codes that share a key are the ones to compare. ``wide`` has the id and lanes l0, l1, .. and is written."""
+    keys = stored(_group_keys(wide, id_col, bits.scattered_masks(blocks, 1, _lane_count(wide))), "keys")
+    shared = stored(shared_keys(keys).select("key", id_col, "n"), "shared")
+    plain = shared.where(F.col("n") <= hot).select("key", id_col)
+    return reduce(DataFrame.union, [plain, *split_rows(shared.where(F.col("n") > hot), wide, id_col, blocks, hot)])
 
 
 def near_lanes(wide: DataFrame, max_bits: int, id_col: str = "cid", hot: int = HOT_BUCKET) -> DataFrame:
     """Pairs (a, b, dist), a < b, of codes within ``max_bits``; ``wide`` is a written table of an id and lanes."""
-    lanes = sum(c.startswith("l") and c[1:].isdigit() for c in wide.columns)
+    lanes = _lane_count(wide)
     rows = bucket_rows(wide, id_col, bits.band_count(max_bits, 64 * lanes), hot)
     pairs = rows.select("key", F.col(id_col).alias("a")).join(rows.select("key", F.col(id_col).alias("b")), "key").where("a < b").select("a", "b").distinct()
     a = wide.select(F.col(id_col).alias("a"), *[F.col(f"l{i}").alias(f"a_l{i}") for i in range(lanes)])

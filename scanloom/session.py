@@ -100,6 +100,13 @@ def remove(df: DataFrame) -> None:
         where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def scratch_path(spark: SparkSession, label: str = "step") -> str:
+    """A new folder name in the shared folder, which ``clear_scratch`` deletes."""
+    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
 def stored(df: DataFrame, label: str = "step", partitions: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
@@ -107,12 +114,11 @@ def stored(df: DataFrame, label: str = "step", partitions: tuple[str, ...] = ())
     branch reads only its columns, and its size is known to the planner.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     writer = df.write.mode("overwrite").option("compression", "zstd")
     (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_to = path
-    _WRITTEN.append(path)
     return out
 
 

@@ -1,13 +1,21 @@
 """Deduplicating new batches against all history: a pivot-distance table.
 
 Each accepted code is stored once with its distances to fixed pivots, taken over disjoint segments of
-the bits. By the pigeonhole principle codes within k bits are equal (distance 0) on one of k + 1
-segments, and there, by the triangle inequality, their distances to every pivot are equal too; over
-whole codes the distances to a pivot differ by at most k. So the table is written range-partitioned and
-sorted by (segment, pivot distances), probes join on that key by hash, a second pivot test over the
-whole code prunes within the key, and what remains is verified by the true distance. A batch reads the
-narrow pivot table of the history and, to verify its candidates, the history's codes; the history
-itself is never compared with itself again. Accepted codes are appended.
+the bits and over the whole code. Codes within k bits are, by the pigeonhole principle, equal on one of
+k + 1 segments; there, by the triangle inequality, their distances to every pivot are equal too, and
+over the whole code their distances to a pivot differ by at most k. So whole-code distances to the first
+pivot are cut into bands 2k + 1 wide, and a probe at distance d looks only into the at most two bands
+that reach into [d - k, d + k], there only at the rows with its own distances on one of the segments: a
+range join, by bands, whose exact range test follows. What remains is verified by the true distance, and
+the accepted codes of a batch are appended.
+
+The table of distances is narrow and laid out for that join: bucketed by (segment distances, band), so a
+batch never shuffles the history, and sorted by whole-code distance, so row groups out of the batch's
+range are not read. Codes are kept apart, bucketed by id, and joined for candidates only. A folder per
+batch makes appending idempotent.
+
+Crowded cells of the table are split by other partitions of the bits while that thins them out, as in
+``operators.pigeonhole``; none is skipped.
 
 Defined results: rows with an invalid code (NULL, empty, another width, not hex, all zero) or a NULL
 batch are never a case and never accepted. Rows of one batch are not compared with each other.
@@ -15,17 +23,21 @@ batch are never a case and never accepted. Rows of one batch are not compared wi
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import bits
 from ..functions.ids import canonical_id
-from ..session import cut, stored
-from .hamming_groups import HOT_BUCKET, code_rows
+from ..operators.pigeonhole import HOT_BUCKET, split_rows
+from ..session import cut, scratch_path, stored
+from .hamming_groups import code_rows
 
 #: Pivots per table. Eight 7-bit distances and the segment fill one long.
 PIVOTS = 8
@@ -38,8 +50,8 @@ def pivot_codes(n: int = PIVOTS, seed: int = PIVOT_SEED) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 1 << 64, size=(n, bits.LANES), dtype=np.uint64)
 
 
-def segment_masks(segments: int, stride: int = 1) -> np.ndarray:
-    return np.array(bits.scattered_masks(segments, stride), dtype=np.int64).view(np.uint64)
+def segment_masks(segments: int) -> np.ndarray:
+    return np.array(bits.scattered_masks(segments), dtype=np.int64).view(np.uint64)
 
 
 def pivot_keys(words: np.ndarray, pivots: np.ndarray, masks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -57,13 +69,13 @@ def pivot_keys(words: np.ndarray, pivots: np.ndarray, masks: np.ndarray) -> tupl
     return keys, whole
 
 
-def pivot_table(codes: DataFrame, max_bits: int, stride: int = 1) -> DataFrame:
-    """(key, cid, first_batch, d0): one row per code and segment. Another stride cuts other segments.
+def pivot_table(codes: DataFrame, max_bits: int) -> DataFrame:
+    """(key, cid, d0): one row per code (cid, code) and segment.
 
     The distances are numpy kernels over Arrow batches: unrolled as expressions they would exceed what
     the JVM compiles.
     """
-    pivots, masks = pivot_codes(), segment_masks(bits.band_count(max_bits), stride)
+    pivots, masks = pivot_codes(), segment_masks(bits.band_count(max_bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -74,131 +86,149 @@ def pivot_table(codes: DataFrame, max_bits: int, stride: int = 1) -> DataFrame:
             words = words.reshape(-1, WIDTH).view(">u8").astype(np.uint64)
             keys, whole = pivot_keys(words, pivots, masks)
             rep = np.repeat(np.arange(len(words)), keys.shape[1])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.ravel()), batch.column("cid").take(pa.array(rep)), batch.column("first_batch").take(pa.array(rep)), pa.array(whole[rep])],
-                names=["key", "cid", "first_batch", "d0"],
-            )
-
-    return codes.select("cid", "code", "first_batch").mapInArrow(run, "key bigint, cid bigint, first_batch bigint, d0 bigint")
-
-
-def _verified(pairs: DataFrame, left: DataFrame, right: DataFrame, max_bits: int) -> DataFrame:
-    """Pairs (a, b) whose true distance is within the bound."""
-    a = left.select(F.col("cid").alias("a"), F.hex("code").alias("ha"))
-    b = right.select(F.col("cid").alias("b"), F.hex("code").alias("hb"))
-    wide = pairs.join(a, "a").join(b, "b").select(
-        *pairs.columns,
-        *[bits.lane(F.col("ha"), i).alias(f"a_l{i}") for i in range(bits.LANES)],
-        *[bits.lane(F.col("hb"), i).alias(f"b_l{i}") for i in range(bits.LANES)],
-    )
-    return wide.where(bits.distance("a_", "b_") <= max_bits).select(*pairs.columns)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), batch.column("cid").take(pa.array(rep)), pa.array(whole[rep].astype(np.int32))], names=["key", "cid", "d0"])
 
+    return codes.select("cid", "code").mapInArrow(run, "key bigint, cid bigint, d0 int")
 
-def _shared(table: DataFrame) -> DataFrame:
-    """The rows whose key at least two codes have, with their number ``n``."""
-    return table.join(table.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "key")
 
+def _cell(band: Column) -> Column:
+    return F.xxhash64("key", band.cast("int"))
 
-def _pairs(table: DataFrame, max_bits: int) -> DataFrame:
-    """(a, b): codes of one key, b of an earlier batch, that no pivot tells apart."""
-    young = table.select("key", F.col("cid").alias("a"), F.col("first_batch").alias("fa"), F.col("d0").alias("da"))
-    old = table.select("key", F.col("cid").alias("b"), F.col("first_batch").alias("fb"), F.col("d0").alias("db"))
-    return young.join(old, "key").where(f"fb < fa and abs(da - db) <= {max_bits}").select("a", "b")
 
+def _lanes(codes: DataFrame) -> DataFrame:
+    return codes.select("cid", F.hex("code").alias("h")).select("cid", *bits.lanes(F.col("h")))
 
-def _candidates(codes: DataFrame, max_bits: int, hot: int = HOT_BUCKET) -> DataFrame:
-    """Distinct candidate pairs (a, b), b of an earlier batch.
 
-    A key with more than ``hot`` codes is split by the pivot distances over other segments: close codes
-    agree on one of those as well, so nothing is lost.
-    """
-    table = stored(pivot_table(codes, max_bits), "pivots")
-    shared = stored(_shared(table).repartitionByRange("key").sortWithinPartitions("key"), "shared")
-    crowded = shared.where(F.col("n") > hot).select("key", "cid")
-    again = pivot_table(codes.join(crowded.select("cid").distinct(), "cid", "left_semi"), max_bits, bits.band_count(max_bits))
-    again = again.withColumnRenamed("key", "second").join(crowded, "cid").select(F.xxhash64("key", "second").alias("key"), "cid", "first_batch", "d0")
-    split = stored(_shared(again), "split")
-    return _pairs(shared.where(F.col("n") <= hot), max_bits).union(_pairs(split, max_bits)).distinct()
+def _verified(pairs: DataFrame, left: DataFrame, right: DataFrame, max_bits: int) -> DataFrame:
+    """Pairs (a, b) whose true distance is within the bound."""
+    a = _lanes(left).select(F.col("cid").alias("a"), *[F.col(f"l{i}").alias(f"a_l{i}") for i in range(bits.LANES)])
+    b = right.select(F.col("cid").alias("b"), F.hex("code").alias("hb"))
+    wide = pairs.join(a, "a").join(b, "b").select("a", "b", *[f"a_l{i}" for i in range(bits.LANES)], *[bits.lane(F.col("hb"), i).alias(f"b_l{i}") for i in range(bits.LANES)])
+    return wide.where(bits.distance("a_", "b_") <= max_bits).select("a", "b")
 
 
-def batch_cases(df: DataFrame, batch_col: str, max_bits: int, id_col: str = "row_id", code_col: str = "fp_hex", hot: int = HOT_BUCKET) -> DataFrame:
-    """(row_id) of the rows that repeat a row accepted from an earlier batch, over all batches at once.
+def _within(young: DataFrame, old: DataFrame, max_bits: int, key: str) -> DataFrame:
+    """(a, b): rows of one key whose whole-code distances to the first pivot are within the bound of each other."""
+    a = young.select(key, F.col("cid").alias("a"), F.col("d0").alias("da"))
+    b = old.select(key, F.col("cid").alias("b"), F.col("d0").alias("db"))
+    return a.join(b, key).where(F.abs(F.col("da") - F.col("db")) <= max_bits).select("a", "b")
 
-    Equal to feeding the batches one by one to ``History``, in one pass: whether a code is accepted
-    depends on its first batch only, so the pivot table holds each distinct code once, with that batch;
-    close codes of different first batches become edges; and acceptance is settled along them from the
-    oldest batch on. Rows of an accepted code after its first batch repeat it.
-    """
-    rows = code_rows(df.where(F.col(batch_col).isNotNull()), id_col, code_col, (batch_col,))
-    rows = rows.select("row_id", "code", F.col(batch_col).cast("bigint").alias("batch"))
-    codes = stored(rows.groupBy("code").agg(F.min("row_id").alias("cid"), F.min("batch").alias("first_batch")), "history")
-    pairs = _candidates(codes, max_bits, hot)
-    edges = cut(_verified(pairs, codes, codes, max_bits))
-    refused = refused_codes(edges).select(F.col("a").alias("cid"), F.lit(True).alias("refused"))
-    known = codes.join(refused, "cid", "left").select("code", "first_batch", "refused")
-    return rows.join(known, "code").where("refused or batch > first_batch").select("row_id")
 
+class History:
+    """The accepted codes under ``path``: bucketed Parquet tables of pivot distances and of codes, a folder per batch.
 
-def refused_codes(edges: DataFrame) -> DataFrame:
-    """(a): codes with an accepted earlier code close by. Edges (a, b) lead from a code to an earlier one.
-
-    A code is accepted once all its earlier neighbours are refused, and refused once one is accepted.
-    Edges always lead to an earlier batch, so each round settles at least the oldest open codes.
+    A batch sees the batches before it only and writes its own folders anew, so one that runs again after a
+    failure gives the same result and leaves nothing twice. The number of buckets is fixed when the history
+    begins, by default the session's shuffle partitions. ``close`` forgets the tables, not their files.
     """
-    open_edges, refused = edges, None
-    while True:
-        waiting = open_edges.select(F.col("a").alias("b")).distinct()
-        settled = open_edges.join(waiting, "b", "left_anti")
-        hit = cut(settled.select("a").distinct())
-        if not hit.head(1):
-            return refused if refused is not None else hit
-        refused = hit if refused is None else refused.union(hit)
-        rest = open_edges.join(hit, "a", "left_anti").join(hit.withColumnRenamed("a", "b"), "b", "left_anti")
-        open_edges = cut(rest, drop=() if open_edges is edges else (open_edges,))
 
+    TABLES = {"pivots": ("cell BIGINT, cid BIGINT, d0 INT", "cell", "d0"), "codes": ("cid BIGINT, code BINARY", "cid", "cid")}
+
+    def __init__(self, spark: SparkSession, path: str, max_bits: int = 10, buckets: int | None = None, hot: int = HOT_BUCKET):
+        self.spark, self.path, self.max_bits, self.hot = spark, path.rstrip("/"), max_bits, hot
+        self.width = 2 * max_bits + 1
+        begun = self._known_buckets()
+        self.buckets = begun or buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.names = {t: f"history_{t}_{hashlib.md5(self.path.encode()).hexdigest()}" for t in self.TABLES}
+        for t, (columns, by, order) in self.TABLES.items():
+            spark.sql(f"DROP TABLE IF EXISTS {self.names[t]}")
+            spark.sql(
+                f"CREATE TABLE {self.names[t]} ({columns}, first_batch BIGINT) USING PARQUET PARTITIONED BY (first_batch)"
+                f" CLUSTERED BY ({by}) SORTED BY ({order}) INTO {self.buckets} BUCKETS LOCATION '{self._folder(t)}'"
+            )
+            if begun:
+                spark.sql(f"MSCK REPAIR TABLE {self.names[t]}")
 
-class History:
-    """The accepted codes in ``path``: Parquet tables of codes and of their pivot distances, a folder per batch.
+    def _folder(self, name: str) -> str:
+        return f"{self.path}/{name}-{self.buckets}"
 
-    A batch sees the batches before it only and writes its own folders anew, so one that runs again after a
-    failure gives the same result and leaves nothing twice.
-    """
+    def _known_buckets(self) -> int | None:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        fs = where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in fs.listStatus(where)] if fs.exists(where) else []
+        return next((int(n.split("-")[1]) for n in names if n.startswith("pivots-")), None)
 
-    def __init__(self, spark: SparkSession, path: str, max_bits: int = 10):
-        self.spark, self.path, self.max_bits = spark, path.rstrip("/"), max_bits
+    def _before(self, name: str, batch_no: int) -> DataFrame:
+        return self.spark.table(self.names[name]).where(F.col("first_batch") < batch_no)
 
-    def _before(self, name: str, schema: str, batch_no: int) -> DataFrame:
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        schema += ", first_batch bigint"
-        if not where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}").where(F.col("first_batch") < batch_no)
+    def _has_before(self, batch_no: int) -> bool:
+        parts = self.spark.sql(f"SHOW PARTITIONS {self.names['codes']}").collect()  # one row per batch
+        return any(int(p[0].split("=")[1]) < batch_no for p in parts)
 
     def _write(self, name: str, rows: DataFrame, batch_no: int) -> None:
-        rows.drop("first_batch").write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/{name}/first_batch={batch_no}")
+        by = self.TABLES[name][1]
+        view = f"appended_{uuid.uuid4().hex}"
+        rows.repartition(self.buckets, by).createOrReplaceTempView(view)
+        columns = ", ".join(c.split()[0] for c in self.TABLES[name][0].split(", "))
+        self.spark.sql(f"INSERT OVERWRITE TABLE {self.names[name]} PARTITION (first_batch = {int(batch_no)}) SELECT {columns} FROM {view}")
+        self.spark.catalog.dropTempView(view)
+
+    def close(self) -> None:
+        for name in self.names.values():
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+    def candidates(self, codes: DataFrame, probes: DataFrame, batch_no: int, reach: tuple[int, int]) -> DataFrame:
+        """Pairs (a, b) of a batch's code and a code of the history that no pivot tells apart; ``reach`` bounds the probes' d0."""
+        k = self.max_bits
+        past = self._before("pivots", batch_no).where(F.col("d0").between(reach[0] - k, reach[1] + k))
+        bands = F.array_distinct(F.array(F.floor((F.col("d0") - k) / self.width), F.floor((F.col("d0") + k) / self.width)))
+        asked = probes.select("key", "cid", "d0", F.explode(bands).alias("band")).select(_cell(F.col("band")).alias("cell"), "cid", "d0")
+        met = stored(past.join(asked.select("cell").distinct(), "cell", "left_semi").select("cell", "cid", "d0"), "met")
+        crowded = met.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > self.hot)
+        young, old, more = asked, met, None
+        if crowded.head(1):
+            crowded = stored(crowded, "crowded")
+            more = self._split(codes, asked, met, crowded, batch_no)
+            old = met.join(crowded, "cell", "left_anti")
+        pairs = _within(young, old, k, "cell")
+        return (pairs if more is None else pairs.union(more)).distinct()
+
+    def _split(self, codes: DataFrame, asked: DataFrame, met: DataFrame, crowded: DataFrame, batch_no: int) -> DataFrame:
+        """The pairs of crowded cells, by the finer buckets they are split into."""
+        rows = met.withColumn("old", F.lit(True)).union(asked.withColumn("old", F.lit(False)))
+        rows = stored(rows.join(crowded, "cell").select(F.col("cell").alias("key"), "cid", "d0", "old", "n"), "rows")
+        ids = rows.select("cid", "d0", "old").distinct()
+        wide = stored(_lanes(codes.union(self._before("codes", batch_no).select("cid", "code")).join(ids, "cid", "left_semi")), "lanes")
+        parts = [finer.join(ids, "cid") for finer in split_rows(rows.select("key", "cid", "n"), wide, "cid", bits.band_count(self.max_bits), self.hot)]
+        both = reduce(DataFrame.union, [x.select("key", "cid", "d0", "old") for x in parts])
+        return _within(both.where("not old"), both.where("old"), self.max_bits, "key")
 
     def check(self, batch: DataFrame, batch_no: int, id_col: str = "row_id", code_col: str = "fp_hex") -> DataFrame:
         """(row_id, is_case) of the batch's valid rows; the rows that are no case become part of the history."""
-        max_bits = self.max_bits
-        rows = code_rows(batch, id_col, code_col)
-        codes = stored(rows.groupBy("code").agg(F.min("row_id").alias("cid")).withColumn("first_batch", F.lit(batch_no).cast("bigint")), "batch")
-        known = self._before("codes", "code binary, cid bigint", batch_no)
-        probes = stored(pivot_table(codes, max_bits), "probes")
-        past = self._before("pivots", "key bigint, cid bigint, d0 bigint", batch_no)
-        pairs = (
-            probes.select("key", F.col("cid").alias("a"), F.col("d0").alias("da"))
-            .join(past.select("key", F.col("cid").alias("b"), F.col("d0").alias("db")), "key")
-            .where(f"abs(da - db) <= {max_bits}").select("a", "b").distinct()
-        )
-        near = cut(_verified(pairs, codes, known, max_bits).select(F.col("a").alias("cid")).distinct())
-        result = cut(
-            rows.join(codes.select("code", "cid"), "code")
-            .join(near.withColumn("hit", F.lit(True)), "cid", "left")
-            .select("row_id", F.coalesce("hit", F.lit(False)).alias("is_case"))
-        )
+        return self.check_codes(code_rows(batch, id_col, code_col), batch_no)
+
+    def check_codes(self, rows: DataFrame, batch_no: int) -> DataFrame:
+        """``check`` of rows (row_id, code) of a table."""
+        codes = stored(rows.groupBy("code").agg(F.min("row_id").alias("cid")).select("cid", "code"), "batch")
+        seen = Observation()
+        probes = stored(pivot_table(codes, self.max_bits).observe(seen, F.min("d0").alias("low"), F.max("d0").alias("high")), "probes")
+        low, high = seen.get["low"], seen.get["high"]
+        if low is None or not self._has_before(batch_no):
+            near = codes.select("cid").limit(0)
+        else:
+            pairs = self.candidates(codes, probes, batch_no, (low, high))
+            near = cut(_verified(pairs, codes, self._before("codes", batch_no), self.max_bits).select(F.col("a").alias("cid")).distinct())
         self._write("codes", codes.join(near, "cid", "left_anti"), batch_no)
-        self._write("pivots", probes.join(near, "cid", "left_anti").repartitionByRange("key").sortWithinPartitions("key"), batch_no)
-        return result
+        own = probes.join(near, "cid", "left_anti").select(_cell(F.floor(F.col("d0") / self.width)).alias("cell"), "cid", "d0")
+        self._write("pivots", own, batch_no)
+        hit = codes.join(near, "cid", "left_semi").select("code", F.lit(True).alias("hit"))
+        return rows.join(hit, "code", "left").select("row_id", F.coalesce("hit", F.lit(False)).alias("is_case"))
+
+
+def batch_cases(df: DataFrame, batch_col: str, max_bits: int, id_col: str = "row_id", code_col: str = "fp_hex", hot: int = HOT_BUCKET) -> DataFrame:
+    """(row_id) of the rows that repeat a row accepted from an earlier batch.
+
+    The rows are written once, a folder per batch, and the batches go through a ``History`` of their own,
+    oldest first; each reads its own folder and the tables of the history.
+    """
+    spark = df.sparkSession
+    rows = code_rows(df.where(F.col(batch_col).isNotNull()), id_col, code_col, (batch_col,))
+    rows = stored(rows.select("row_id", "code", F.col(batch_col).cast("bigint").alias("batch")), "batches", ("batch",))
+    batches = sorted(r["batch"] for r in rows.select("batch").distinct().collect())  # one number per batch
+    kept = History(spark, scratch_path(spark, "history"), max_bits, hot=hot)
+    found = [kept.check_codes(rows.where(F.col("batch") == b).select("row_id", "code"), b).where("is_case").select("row_id") for b in batches]
+    kept.close()
+    return reduce(DataFrame.union, found) if found else rows.select("row_id")
 
 
 def repeated_ids(df: DataFrame, batch_col: str, id_col: str, value_col: str) -> DataFrame:

@@ -45,3 +45,65 @@ def test_rare_words_count_as_common_ones(spark, share, monkeypatch):
     assert found() == whole
     monkeypatch.setattr(sentences, "LEAST_COUNT", 10**9)
     assert found() != whole
+
+
+def _history_rows(n, seed=4):
+    import random
+
+    rng = random.Random(seed)
+    return [(i, f"s{i}", "r", f"{rng.getrandbits(1024) | 1:0256x}", 0, "") for i in range(n)]
+
+
+def test_history_is_joined_where_it_lies(spark, tmp_path):
+    """No exchange above the scan of the stored distances or codes, and distances out of reach are filtered in the scan."""
+    from scanloom.llm import history
+    from scanloom.llm.hamming_groups import code_rows
+
+    df = spark.createDataFrame(_history_rows(300), "row_id bigint, source string, relpath string, fp_hex string, batch_no int, cid string")
+    kept = history.History(spark, f"file://{tmp_path}/h", 10)
+    kept.check(df, 0)
+    rows = code_rows(df.where("row_id < 20"), "row_id", "fp_hex").select(history.F.col("row_id").alias("cid"), "code")
+    probes = history.pivot_table(rows, 10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        asked = probes.select(history._cell(history.F.lit(3)).alias("cell"))
+        past = kept._before("pivots", 1).where("d0 between 480 and 520")
+        plan = past.join(asked.distinct(), "cell", "left_semi")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scan = next(i for i, line in enumerate(plan.splitlines()) if "Bucketed: true" in line)
+    above = plan.splitlines()[:scan]
+    assert not any("Exchange" in line for line in above) and "GreaterThanOrEqual(d0,480)" in plan
+    kept.close()
+
+
+def test_a_history_opened_again_goes_on(spark, tmp_path):
+    from scanloom.llm import history
+
+    df = spark.createDataFrame(_history_rows(40), "row_id bigint, source string, relpath string, fp_hex string, batch_no int, cid string")
+    first = history.History(spark, f"file://{tmp_path}/h", 10, buckets=3)
+    assert first.check(df.where("row_id < 20"), 0).where("is_case").count() == 0
+    first.close()
+    again = history.History(spark, f"file://{tmp_path}/h", 10, buckets=7)
+    assert again.buckets == 3
+    assert {r.row_id for r in again.check(df, 1).where("is_case").collect()} == set(range(20))
+    again.close()
+
+
+def test_crowded_cells_of_the_history_are_split(spark, tmp_path, monkeypatch):
+    """Many codes alike in one segment are split, and every close pair is still found."""
+    import random
+
+    from scanloom.llm import history
+
+    rng = random.Random(8)
+    mask = sum(1 << (1023 - p) for p in range(1024) if p % 11 == 0)
+    same = rng.getrandbits(1024) & mask
+    old = [rng.getrandbits(1024) & ~mask | same for _ in range(200)]
+    new = [c ^ (1 << rng.randrange(1024)) for c in old[:30]] + [rng.getrandbits(1024) & ~mask | same for _ in range(30)]
+    rows = [(i, "s", "r", f"{c:0256x}", 0 if i < 200 else 1, "") for i, c in enumerate(old + new)]
+    df = spark.createDataFrame(rows, "row_id bigint, source string, relpath string, fp_hex string, batch_no int, cid string")
+    calls, plain = [], history.split_rows
+    monkeypatch.setattr(history, "split_rows", lambda *a: calls.append(1) or plain(*a))
+    got = {r.row_id for r in history.batch_cases(df, "batch_no", 10, hot=5).collect()}
+    assert got == set(range(200, 230)) and calls

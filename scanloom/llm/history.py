@@ -212,7 +212,7 @@ class History:
         own = probes.join(near, "cid", "left_anti").select(_cell(F.floor(F.col("d0") / self.width)).alias("cell"), "cid", "d0")
         self._write("pivots", own, batch_no)
         hit = codes.join(near, "cid", "left_semi").select("code", F.lit(True).alias("hit"))
-        return rows.join(hit, "code", "left").select("row_id", F.coalesce("hit", F.lit(False)).alias("is_case"))
+        return cut(rows.join(hit, "code", "left").select("row_id", F.coalesce("hit", F.lit(False)).alias("is_case")))
 
 
 def batch_cases(df: DataFrame, batch_col: str, max_bits: int, id_col: str = "row_id", code_col: str = "fp_hex", hot: int = HOT_BUCKET) -> DataFrame:

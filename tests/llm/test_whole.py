@@ -107,3 +107,52 @@ def test_crowded_cells_of_the_history_are_split(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(history, "split_rows", lambda *a: calls.append(1) or plain(*a))
     got = {r.row_id for r in history.batch_cases(df, "batch_no", 10, hot=5).collect()}
     assert got == set(range(200, 230)) and calls
+
+
+def test_mixture_keeps_both_totals_at_every_size(spark):
+    """Sources of 14, 400 and 200,000 documents of very uneven lengths: tokens and documents come out as promised."""
+    import random
+
+    from scanloom.llm import mixing
+
+    rng = random.Random(6)
+    docs, n = [], 0
+    for source, size in (("small", 14), ("middle", 400), ("large", 200_000)):
+        docs += [(n + i, source, int(rng.paretovariate(1.3) * 60)) for i in range(size)]
+        n += size
+    tokens = {s: sum(d[2] for d in docs if d[1] == s) for s in ("small", "middle", "large")}
+    sizes = spark.createDataFrame(docs, "doc_id bigint, source string, tokens bigint")
+    total = 0.6 * sum(tokens.values())
+    weights = [(s, 0.4 * tokens[s] / total, 1) for s in tokens]
+    weights[0] = ("small", 0.55 * tokens["small"] / total, 1)
+    targets = spark.createDataFrame(weights, "source string, target_weight double, max_repeats int")
+    for r in mixing.shares(mixing.drawn(sizes, targets), targets).collect():
+        mean = tokens[r.source] / {"small": 14, "middle": 400, "large": 200_000}[r.source]
+        assert abs(r.doc_residual) <= 1.001, r
+        assert abs(r.token_residual) <= (mean if r.source == "small" else 2), r
+
+
+def test_long_documents_keep_their_probability():
+    import random
+
+    from scanloom.llm import mixing
+
+    t = [150.0, 80.0] + [10.0 + i % 31 for i in range(300)]
+    n = [0, 0]
+    for s in range(300):
+        q = mixing.settle_long(t, [0.3] * len(t), random.Random(s))
+        assert {q[0], q[1]} <= {0.0, 1.0}
+        assert abs(sum(q) - 0.3 * len(t)) < 1e-6 and abs(sum(a * b for a, b in zip(t, q)) - 0.3 * sum(t)) < 1e-3
+        n = [n[0] + q[0], n[1] + q[1]]
+    assert 55 < n[0] < 130 and 55 < n[1] < 130
+
+
+def test_a_document_too_long_to_balance_in_number_keeps_the_tokens():
+    import random
+
+    from scanloom.llm import mixing
+
+    t = [2000.0] + [10.0 + i % 7 for i in range(900)]
+    p = [0.4] * len(t)
+    q = mixing.decided(t, p, random.Random(2), True)
+    assert set(q) <= {0.0, 1.0} and abs(sum(a * b for a, b in zip(t, q)) - 0.4 * sum(t)) < 3

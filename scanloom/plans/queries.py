@@ -17,8 +17,8 @@ ORPHAN_REFS = [
 #: A catalogue row hangs on the crosswalk rows of its real accession.
 ORPHAN_GRAPH = [
     orphans.Child("metadata_catalog", "row_id", "accession", "archive_crosswalk", "xw_id", "accession", plain=True),
-    orphans.Child("copy_crosswalk", "row_id", "anon_accession", "archive_crosswalk", "xw_id", "anon_accession"),
-    orphans.Child("checksum_manifest", "check_id", "file", "copy_crosswalk", "row_id", "crosswalk_accession"),
+    orphans.Child("copy_crosswalk", "row_id", "anon_accession", "archive_crosswalk", "xw_id", "anon_accession", time="loaded_at"),
+    orphans.Child("checksum_manifest", "check_id", "file", "copy_crosswalk", "row_id", "crosswalk_accession", time="checked_at"),
 ]
 
 
@@ -27,22 +27,24 @@ def _orphan_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     return {n: table(spark, d, n) for n in names}
 
 
+def _orphan_report(spark: SparkSession, d: str) -> DataFrame:
+    return orphans.orphan_report(_orphan_tables(spark, d), ORPHAN_REFS, ORPHAN_GRAPH)
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    return orphans.orphan_rows(_orphan_tables(spark, d), ORPHAN_REFS).select("ref_table", "ref_field", "row_id", "kind")
+    """The direct orphans of the report."""
+    return _orphan_report(spark, d).where("depth = 0").select("ref_table", "ref_field", "row_id", "kind")
 
 
 def p5_months(spark: SparkSession, d: str) -> DataFrame:
-    """Orphans per table, field, kind and month of loaded_at."""
-    found = orphans.orphan_rows(_orphan_tables(spark, d), ORPHAN_REFS)
+    """Direct and inherited orphans per table, field, kind and month of the row's time."""
+    found = _orphan_report(spark, d)
     return found.groupBy("ref_table", "ref_field", "kind", F.date_format("t", "yyyy-MM").alias("month")).agg(F.count(F.lit(1)).alias("n_orphans"))
 
 
 def p5_cascade(spark: SparkSession, d: str) -> DataFrame:
-    """Direct and inherited orphan records per table: depth 0 is direct."""
-    tables = _orphan_tables(spark, d)
-    direct = orphans.orphan_rows(tables, ORPHAN_REFS).select(F.col("ref_table").alias("table"), "row_id")
-    found = orphans.cascade(tables, direct, ORPHAN_GRAPH)
-    return found.groupBy("table", "depth").agg(F.count(F.lit(1)).alias("n_records"))
+    """Every orphan with the steps from a direct one to it: depth 0 is direct."""
+    return _orphan_report(spark, d).select("ref_table", "ref_field", "row_id", "kind", "depth", F.date_format("t", "yyyy-MM").alias("month"))
 
 
 def p6_values(spark: SparkSession, d: str) -> DataFrame:
@@ -70,19 +72,21 @@ where r.k is not null and not exists (
     return "\nunion all\n".join(parts)
 
 
-def _cascade_sql(rounds: int = 3) -> str:
+def _report_sql(rounds: int = 3) -> str:
     """The cascade unrolled: the foreign keys here are two steps deep, a third round must find nothing."""
-    steps = [f"k0 as materialized (select distinct ref_table tab, row_id, 0 depth from ({_orphan_sql()}))"]
+    steps = [f"direct as materialized ({_orphan_sql()})", "k0 as materialized (select distinct ref_table tab, row_id, 0 depth, null::int edge, null::timestamp t from direct)"]
     for i in range(1, rounds + 1):
         parts = []
-        for c in ORPHAN_GRAPH:
+        for n, c in enumerate(ORPHAN_GRAPH):
             key = (lambda x: x) if c.plain else canonical_id_sql
             parts.append(
-                f"select '{c.table}' tab, {c.row_id} row_id from {c.table} where {key(c.key)} in (select x.k from (select {key(c.parent_key)} k, {c.parent_row_id} r from {c.parent}) x "
+                f"select '{c.table}' tab, {c.row_id} row_id, {n} edge, {c.time or 'null::timestamp'} t from {c.table} where {key(c.key)} in (select x.k from (select {key(c.parent_key)} k, {c.parent_row_id} r from {c.parent}) x "
                 f"left join k{i - 1} o on o.tab = '{c.parent}' and o.row_id = x.r where x.k is not null group by x.k having bool_and(o.row_id is not null))"
             )
-        steps.append(f"k{i} as materialized (select * from k{i - 1} union all select tab, row_id, {i} from (select distinct * from ({' union all '.join(parts)})) n where not exists (select 1 from k{i - 1} o where o.tab = n.tab and o.row_id = n.row_id))")
-    return f'with {", ".join(steps)} select tab as "table", depth::int as depth, count(*)::bigint n_records from k{rounds} group by 1, 2'
+        steps.append(f"k{i} as materialized (select * from k{i - 1} union all select tab, row_id, {i}, min(edge), min(t) from ({' union all '.join(parts)}) n where not exists (select 1 from k{i - 1} o where o.tab = n.tab and o.row_id = n.row_id) group by tab, row_id)")
+    fields = " ".join(f"when {n} then '{c.key}'" for n, c in enumerate(ORPHAN_GRAPH))
+    steps.append(f"report as (select ref_table, ref_field, row_id, kind, t, 0 depth from direct union all select tab, case edge {fields} end, row_id, 'inherited', t, depth from k{rounds} where depth > 0)")
+    return f'with {", ".join(steps)}'
 
 
 _WIDE = "".join(map(chr, range(0xFF01, 0xFF5F))) + "\u3000\u03bc"
@@ -116,8 +120,8 @@ select row_id, round(arg_min(mt, abs(ln(mt / 1500))))::bigint field_mt from f gr
 
 
 SQL = {
-    "p5_cascade": _cascade_sql(),
+    "p5_cascade": f"{_report_sql()} select ref_table, ref_field, row_id, kind, depth::int as depth, strftime(t, '%Y-%m') as month from report",
     "p6_found": _unit_sql(),
     "p5_found": f"select ref_table, ref_field, row_id, kind from ({_orphan_sql()})",
-    "p5_months": f"select ref_table, ref_field, kind, strftime(t, '%Y-%m') as month, count(*)::bigint n_orphans from ({_orphan_sql()}) group by 1, 2, 3, 4",
+    "p5_months": f"{_report_sql()} select ref_table, ref_field, kind, strftime(t, '%Y-%m') as month, count(*)::bigint n_orphans from report group by 1, 2, 3, 4",
 }

@@ -240,6 +240,17 @@ def test_cascade(spark):
     assert got == {("a", 1): 0, ("a", 3): 0, ("b", 2): 1, ("c", 2): 2}  # A still has a live row 2
 
 
+def test_cascade_adds_up_losses_of_rounds(spark):
+    """The parents of a key that are lost in different rounds, and a cycle."""
+    a = spark.createDataFrame([(i, f"a{i - 1}", f"a{i}") for i in range(1, 6)] + [(9, "a5", "a0")], "id bigint, up string, own string")
+    b = spark.createDataFrame([(1, "x", 1), (2, "y", 2)], "id bigint, k string, month int")
+    p = spark.createDataFrame([(1, "x", "a1"), (2, "x", "a3"), (3, "y", "a2"), (4, "y", None)], "id bigint, own string, up string")
+    graph = [orphans.Child("a", "id", "up", "a", "id", "own", plain=True), orphans.Child("p", "id", "up", "a", "id", "own", plain=True), orphans.Child("b", "id", "k", "p", "id", "own", plain=True)]
+    direct = spark.createDataFrame([("a", 1)], "table string, row_id bigint")
+    got = {(r.table, r.row_id): r.depth for r in orphans.cascade({"a": a, "b": b, "p": p}, direct, graph).collect()}
+    assert got == {("a", 1): 0, ("a", 2): 1, ("a", 3): 2, ("a", 4): 3, ("a", 5): 4, ("a", 9): 5, ("p", 1): 1, ("p", 2): 3, ("p", 3): 2, ("b", 1): 4}
+
+
 # -- units --------------------------------------------------------------------------------------------
 
 

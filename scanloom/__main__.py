@@ -29,9 +29,9 @@ def run_preprocess(a: argparse.Namespace) -> None:
         found = archives.members(spark, a.root, by_path=a.by_path).select(F.col("archive").alias("filenames")).distinct()
         tabular.write_csv(preprocess.audit(found, store.read_series(spark, a.output), a.institution), f"{a.output}/incomplete")
         return
-    members = archives.members(spark, a.root, by_path=a.by_path)
+    members = archives.ArchiveFiles.below(spark, a.root)
     if a.safelist:
-        members = members.join(tabular.read_safelist(spark, a.safelist).withColumnRenamed("filenames", "archive"), "archive", "left_semi")
+        members = members.named(tabular.read_safelist(spark, a.safelist).withColumnRenamed("filenames", "archive"))
     frames, series, outcomes = preprocess.run(members, opts)
     append_outcomes(write_store(frames, series, a.output), f"{a.output}/outcomes")
     append_outcomes(outcomes, f"{a.output}/outcomes")

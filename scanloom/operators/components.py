@@ -12,10 +12,11 @@ repeated and reversed edges count once; no edges give an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut, cut_counted
+from .ordering import places
 
 
 def _selected(edges: DataFrame) -> DataFrame:
@@ -87,17 +88,11 @@ def ordered_ids(keys: DataFrame, by: list[str], id_col: str = "nid") -> DataFram
 def components(edges: DataFrame) -> DataFrame:
     """(node, cluster_id): ids 1.. in the order of each component's smallest node.
 
-    Nodes of any type become longs in their order first. The ids are ranks of labels; labels are
-    range-partitioned and only the partitions' counts meet.
+    Nodes of any type become longs in their order first. The ids are the places of labels.
     """
     known = cut(edges.select("a", "b").where("a is not null and b is not null").distinct())
     nodes = ordered_ids(known.select(F.col("a").alias("node")).union(known.select("b")), ["node"])
     ends = known.join(nodes.select(F.col("node").alias("a"), F.col("nid").alias("ia")), "a").join(nodes.select(F.col("node").alias("b"), F.col("nid").alias("ib")), "b")
     found = cut(labels(ends, "ia", "ib").withColumnRenamed("node", "nid"))
-    roots = cut(found.select("label").distinct().orderBy("label").withColumn("at", F.monotonically_increasing_id()))
-    part, within = F.shiftright("at", 33), F.col("at").bitwiseAND((1 << 33) - 1)
-    sizes = roots.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = sizes.select("p", before.alias("start"))
-    ids = roots.withColumn("p", part).join(starts, "p").select("label", (F.col("start") + within + 1).alias("cluster_id"))
+    ids = places(found.select("label").distinct(), [F.col("label")], "cluster_id")
     return nodes.join(found, "nid").join(ids, "label").select("node", "cluster_id")

@@ -83,14 +83,11 @@ def boundary_frames(series: DataFrame, step: int = 1) -> DataFrame:
 def places(df: DataFrame, order: list[Column], name: str = "place") -> DataFrame:
     """Adds the 1-based place of every row in an order over the whole table, without a single-task sort.
 
-    Rows are range-partitioned and sorted; only the row count of each partition reaches the driver.
+    Rows are range-partitioned and sorted; only the row counts of the partitions meet, one row each.
     """
     placed = cut(df.orderBy(*order).withColumn("__at", F.monotonically_increasing_id()))
-    part = F.shiftright("__at", 33)
-    sizes = {r["p"]: r["n"] for r in placed.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    starts, total = {}, 0
-    for p in sorted(sizes):
-        starts[p], total = total, total + sizes[p]
-    offset = F.create_map(*[F.lit(x) for kv in starts.items() for x in kv])[part] if starts else F.lit(0)
-    within = F.col("__at").bitwiseAND((1 << 33) - 1)
-    return placed.withColumn(name, (offset + within + 1).cast("bigint")).drop("__at")
+    part, within = F.shiftright("__at", 33), F.col("__at").bitwiseAND((1 << 33) - 1)
+    sizes = placed.groupBy(part.alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = cut(sizes.select("__p", before.alias("__start")))
+    return placed.withColumn("__p", part).join(starts, "__p").withColumn(name, (F.col("__start") + within + 1).cast("bigint")).select(*df.columns, name)

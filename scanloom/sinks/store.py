@@ -9,32 +9,52 @@ import subprocess
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut_counted
 from ..sources.store import KEY, read_series
 
 OUTCOMES = "unit string, status string, detail string"
 
 
-def write_store(frames: DataFrame, series: DataFrame, path: str, order: str = "archive") -> DataFrame:
-    """Appends series to a store; the first writer of a key wins. Returns outcomes (unit, status, detail).
+def _exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
+def batch_name(series: DataFrame, order: str = "archive") -> str:
+    """A name for what a run brings: the same archives with the same series have the same name."""
+    seen = series.select(*KEY, order).distinct().agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*KEY, order)).alias("x")).first()
+    return f"{seen['n']}-{(seen['x'] or 0) & (1 << 64) - 1:016x}"
+
+
+def write_store(frames: DataFrame, series: DataFrame, path: str, order: str = "archive", batch: str | None = None) -> DataFrame:
+    """Adds series to a store; the first writer of a key wins. Returns outcomes (unit, status, detail).
 
     A key that the store already has, or that an earlier archive of the same run has, is
-    ``already_exists``.
+    ``already_exists``. Each batch has folders of its own, named by its content unless named here. Its
+    series are written last and make it complete: a batch that failed before leaves nothing that counts,
+    and overwrites its folders when it runs again.
     """
     spark = series.sparkSession
+    batch = batch or batch_name(series, order)
     w = Window.partitionBy(*KEY).orderBy(order)
     ranked = series.withColumn("__rn", F.row_number().over(w))
-    try:
+    if _exists(spark, f"{path}/series"):
         have = read_series(spark, path).select(*KEY).distinct().withColumn("__have", F.lit(True))
-    except Exception:
+    else:
         have = spark.createDataFrame([], ", ".join(f"{k} string" for k in KEY) + ", __have boolean")
-    judged = cut(ranked.join(have, KEY, "left").withColumn("fresh", (F.col("__rn") == 1) & F.col("__have").isNull()))
+    judged, stale = cut_counted(ranked.join(have, KEY, "left").withColumn("fresh", (F.col("__rn") == 1) & F.col("__have").isNull()), ~F.col("fresh"))
     fresh = judged.where("fresh").drop("__rn", "__have", "fresh")
-    frames.join(fresh.select(*KEY, order), [*KEY, order], "left_semi").drop(order).write.mode("append").partitionBy("institution").option("compression", "zstd").parquet(f"{path}/frames")
-    fresh.drop(order).write.mode("append").partitionBy("institution").parquet(f"{path}/series")
+    if not _exists(spark, f"{path}/series/batch={batch}"):
+        def write(rows: DataFrame, name: str) -> None:
+            rows.write.mode("overwrite").partitionBy("institution").option("compression", "zstd").parquet(f"{path}/{name}/batch={batch}")
+
+        # frames are only joined, and then shuffled, where some of them must not be written
+        kept = frames.join(fresh.select(*KEY, order), [*KEY, order], "left_semi") if stale else frames
+        write(kept.drop(order), "frames")
+        write(fresh.drop(order), "series")
     unit = F.concat_ws("/", *KEY)
     return judged.select(unit.alias("unit"), F.when(F.col("fresh"), "written").otherwise("already_exists").alias("status"), F.col(order).alias("detail"))
 

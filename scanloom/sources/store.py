@@ -1,4 +1,4 @@
-"""The series store: frames as rows of Parquet, partitioned by institution."""
+"""The series store: frames as rows of Parquet, a folder per batch and institution."""
 
 from __future__ import annotations
 
@@ -12,12 +12,12 @@ KEY = ["institution", "mrn", "accession", "series"]
 
 def read_frames(spark: SparkSession, path: str, prefix: str | None = None) -> DataFrame:
     """All frames; a prefix selects the partitions of matching institutions."""
-    df = spark.read.schema(FRAMES).parquet(f"{path}/frames")
+    df = spark.read.schema(FRAMES + ", batch string").parquet(f"{path}/frames").drop("batch")
     return df.where(F.col("institution").startswith(prefix)) if prefix else df
 
 
 def read_series(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(SERIES).parquet(f"{path}/series")
+    return spark.read.schema(SERIES + ", batch string").parquet(f"{path}/series").drop("batch")
 
 
 def relpath() -> Column:

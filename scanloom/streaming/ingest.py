@@ -1,8 +1,8 @@
 """Ingestion of archives as they arrive, in place of an upload queue.
 
 A file stream finds new archives; each micro-batch is preprocessed and appended to the store. The
-checkpoint remembers files, and the store's first-writer rule makes a batch that runs twice harmless, so
-every archive counts once.
+checkpoint remembers files, and a batch that runs twice finds its own folders of the store and writes
+them anew or leaves them, so every archive counts once.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..plans import preprocess
 from ..sinks.store import append_outcomes, write_store
-from ..sources.archives import MEMBERS, _expand
+from ..sources.archives import ArchiveFiles
 
 BINARY = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -29,8 +29,7 @@ def start(spark: SparkSession, folder: str, store: str, checkpoint: str, opts: p
     """Runs the ingestion; with ``once`` it ends when everything that is there has been read."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        members = batch.select("path", "content").mapInArrow(_expand("tar", False, None), MEMBERS)
-        frames, series, outcomes = preprocess.run(members, opts)
+        frames, series, outcomes = preprocess.run(ArchiveFiles(batch.select("path")), opts)
         append_outcomes(write_store(frames, series, store), f"{store}/outcomes")
         append_outcomes(outcomes, f"{store}/outcomes")
 

@@ -191,3 +191,58 @@ def test_array_layouts():
     for shape, c in (((7, 3, 4, 5), "grey"), ((7, 1, 4, 5), "rgb"), ((4, 5), "rgb")):
         with pytest.raises(ValueError):
             pixels.check_channels(shape, c)
+
+
+def _rows(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_archives_by_path_equal_archives_by_content(spark, folder, monkeypatch):
+    opts = preprocess.Options("medstar", frame_size=None, channels="grey")
+    by_content = preprocess.run(archives.members(spark, folder), opts)
+    by_path = preprocess.run(archives.ArchiveFiles.below(spark, folder), opts)
+    assert [_rows(x) for x in by_path] == [_rows(x) for x in by_content]
+    heads = preprocess.headers(archives.ArchiveFiles.below(spark, folder))
+    planned, _ = preprocess.plan_frames(heads, opts)
+    steps = [r.asDict() for r in planned.collect()]
+    mine = [s for s in steps if s["archive"] == "M1-A-1.tgz"]
+    path = archives.ArchiveFiles.below(spark, folder).files.where("path like '%M1-A-1.tgz'").first().path
+    held = sorted(preprocess._decode_archive("M1-A-1.tgz", mine, archives.opened(path, "tar"), opts))
+    monkeypatch.setattr(preprocess, "HELD_BYTES", 1)
+    assert sorted(preprocess._decode_archive("M1-A-1.tgz", mine, archives.opened(path, "tar"), opts)) == held and held
+
+
+def test_no_content_or_plane_is_shuffled(spark, folder):
+    opts = preprocess.Options("medstar", frame_size=None)
+    files = archives.ArchiveFiles.below(spark, folder)
+    planned, _ = preprocess.plan_frames(preprocess.headers(files), opts)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = preprocess.decode(files, planned, opts)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan.splitlines()
+    last = next(i for i, line in enumerate(lines) if "MapInArrow" in line)
+    assert not any("Exchange" in line for line in lines[:last])  # what is decoded stays where it is
+    assert not any("content" in line for line in lines[last + 1 :] if "Exchange" in line)
+
+
+def test_a_failed_batch_leaves_no_double_frames(spark, folder, tmp_path, monkeypatch):
+    from pyspark.sql import DataFrameWriter
+
+    frames, series, _ = preprocess.run(archives.ArchiveFiles.below(spark, folder), preprocess.Options("medstar", frame_size=None))
+    at, write = f"file://{tmp_path}/store", DataFrameWriter.parquet
+
+    def failing(self, path, *args, **kw):
+        if "/series/" in path:
+            raise RuntimeError("lost")
+        return write(self, path, *args, **kw)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", failing)
+    with pytest.raises(RuntimeError):
+        write_store(frames, series, at)
+    monkeypatch.undo()
+    assert [r.status for r in write_store(frames, series, at).collect()] == ["written"]
+    assert store.read_frames(spark, at).count() == 5 and store.read_series(spark, at).count() == 1
+    assert [r.status for r in write_store(frames, series, at, batch="other").collect()] == ["already_exists"]
+    assert store.read_frames(spark, at).count() == 5

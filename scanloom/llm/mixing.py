@@ -202,7 +202,7 @@ def drawn(sizes: DataFrame, targets: DataFrame, id_col: str = "doc_id", seed: in
         .withColumn("whole", F.floor(F.col("rate") + _EPS)).withColumn("prob", F.greatest(F.col("rate") - F.col("whole"), F.lit(0.0)))
     )
     units = stored(units, "units")
-    id_type = dict(units.dtypes)["id"]
+    id_type, tasks = dict(units.dtypes)["id"], int(units.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out_schema = f"id {id_type}, source string, tokens bigint, prob double"
 
     def fly(level: int, land: bool):
@@ -220,10 +220,12 @@ def drawn(sizes: DataFrame, targets: DataFrame, id_col: str = "doc_id", seed: in
         if (counts.agg(F.max("n")).first()[0] or 0) <= block_docs:
             break
         block = F.pmod(F.xxhash64(F.lit(level), "id"), F.ceil(F.col("n") / block_docs))
-        flown = stored(open_.join(counts, "source").withColumn("block", block).groupBy("source", "block").applyInPandas(fly(level, False), out_schema), "flown")
+        # as many tasks as the session has partitions: the rows are small, the flights are not
+        spread = open_.join(counts, "source").withColumn("block", block).repartition(tasks, "source", "block")
+        flown = stored(spread.groupBy("source", "block").applyInPandas(fly(level, False), out_schema), "flown")
         chosen.append(flown.where(f"prob >= {1 - _EPS}").select("id"))
         open_, level = flown.where(f"prob > {_EPS} and prob < {1 - _EPS}"), level + 1
-    chosen.append(open_.groupBy("source").applyInPandas(fly(level, True), out_schema).where("prob > 0.5").select("id"))
+    chosen.append(open_.repartition(tasks, "source").groupBy("source").applyInPandas(fly(level, True), out_schema).where("prob > 0.5").select("id"))
     return units.join(reduce(DataFrame.union, chosen).withColumn("extra", F.lit(1)), "id", "left").select(
         F.col("id").alias(id_col), "source", "tokens", (F.coalesce("whole", F.lit(0)) + F.coalesce("extra", F.lit(0))).cast("bigint").alias("copies")
     )

@@ -156,3 +156,54 @@ def test_a_document_too_long_to_balance_in_number_keeps_the_tokens():
     p = [0.4] * len(t)
     q = mixing.decided(t, p, random.Random(2), True)
     assert set(q) <= {0.0, 1.0} and abs(sum(a * b for a, b in zip(t, q)) - 0.4 * sum(t)) < 3
+
+
+def test_count_arrays_are_not_larger_than_the_counts(monkeypatch):
+    """Few counts over a vocabulary of 8 million ids stay few, sorted by id, and sum up to the same."""
+    import numpy as np
+    import pyarrow as pa
+
+    from scanloom.llm import terms
+
+    rng = np.random.default_rng(2)
+    tid = np.sort(rng.integers(0, 8_000_000, 20_000))
+    dense = np.arange(40_960, 45_056)
+    tid = np.sort(np.concatenate([tid, dense]))
+    rows = pa.RecordBatch.from_arrays([pa.array(tid), *[pa.array(np.ones(len(tid), np.int64) * k) for k in (1, 2, 3)]], names=["tid", "rows", "occ", "weight"])
+    arrays = list(terms._accumulate(iter([rows.slice(0, 7000), rows.slice(7000)])))
+    assert sum(b.nbytes for b in arrays) < 2 * rows.nbytes
+    assert any(not b.column("at")[i].is_valid for b in arrays for i in range(b.num_rows))
+    twice = pa.Table.from_batches(arrays + arrays).sort_by("block").to_batches()
+    got = pa.Table.from_batches(list(terms._sum_sorted(iter(twice))))
+    ids, n = np.unique(tid, return_counts=True)
+    assert (got["tid"].to_numpy() == ids).all() and (got["rows"].to_numpy() == 2 * n).all() and (got["weight"].to_numpy() == 6 * n).all()
+
+
+def test_terms_of_a_very_long_text(spark):
+    from scanloom.llm import terms
+
+    df = spark.createDataFrame([(" ".join(f"w{i % 30_000}" for i in range(100_000)), 2), ("w1 w1", 5)], "t string, w int")
+    got = {r.term: (r.n_rows, r.n_occurrences, r.weight) for r in terms.term_counts(df, "t", "w").where("term in ('w1', 'w29999')").collect()}
+    assert got == {"w1": (2, 6, 18), "w29999": (1, 3, 6)}
+
+
+def test_packs_of_one_crowded_length(spark, monkeypatch):
+    """A length of most items, documents of many full pieces, and parts and blocks much smaller than they are."""
+    from collections import Counter
+
+    from scanloom.llm import packing
+
+    monkeypatch.setattr(packing, "RANKED_ROWS", 50)
+    monkeypatch.setattr(packing, "RANK_BLOCK", 16)
+    sizes = [(i, 30) for i in range(2000)] + [(5000 + i, 100 * (i % 5)) for i in range(400)] + [(9000, 100 * 700 + 1)] + [(9100 + i, i % 100) for i in range(300)]
+    df = spark.createDataFrame(sizes, "doc_id bigint, tokens bigint")
+    rows = packing.packed(df, 100).collect()
+    held, parts = Counter(), {}
+    for r in rows:
+        held[r.pack_id] += r.n_tokens
+        parts.setdefault(r.doc_id, []).append((r.part, r.start_token, r.n_tokens))
+    assert max(held.values()) <= 100 and all(r.fill == held[r.pack_id] / 100 for r in rows)
+    assert {p for p in held if p >= 0} == set(range(len(held) - 1))
+    for i, n in sizes:
+        got = sorted(parts[i])
+        assert sum(x for *_, x in got) == n and len(got) == max(1, -(-n // 100)) and all(s == p * 100 for p, s, _ in got)

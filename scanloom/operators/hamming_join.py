@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bits
 from ..session import stored
-from .pigeonhole import near_lanes
+from .pigeonhole import lane_table, near_lanes
 
 
 def valid_codes(df: DataFrame, col: str = "fp_hex", digits: int = 256) -> DataFrame:
@@ -55,7 +55,7 @@ def near_codes(rows: DataFrame, id_col: str, code_col: str, max_bits: int, max_b
     lanes = bits_wide // 64
     codes = rows.groupBy(F.col(code_col).alias("code")).agg(F.min(id_col).alias("cid"), F.count(F.lit(1)).alias("n"))
     if max_bucket is None:
-        return near_lanes(stored(codes.select("cid", *bits.lanes(F.col("code"), lanes)), "lanes"), max_bits)
+        return near_lanes(stored(lane_table(codes.select("cid", F.unhex("code").alias("code")), "cid", "code", lanes), "lanes"), max_bits)
     codes = stored(codes, "codes")
     pairs, _ = candidate_pairs(codes, bits.band_count(max_bits), max_bucket, bits_wide // 8)
     wide = codes.select("cid", *bits.lanes(F.col("code"), lanes))

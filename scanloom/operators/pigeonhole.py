@@ -16,8 +16,11 @@ multiplies rows, and would broadcast a side ten times the size it expects.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +31,23 @@ from ..session import stored
 HOT_BUCKET = 24
 
 
+def lane_table(codes: DataFrame, id_col: str, code_col: str, lanes: int = bits.LANES) -> DataFrame:
+    """(id, l0, l1, ..): binary codes as signed 64-bit lanes, by numpy over Arrow batches; the JVM reads numbers from text only."""
+    width = 8 * lanes
+    kind = dict(codes.dtypes)[id_col]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            code = batch.column(1).cast(pa.binary(width))
+            if not len(code):
+                continue
+            words = np.frombuffer(code.buffers()[1], np.uint8, offset=code.offset * width, count=len(code) * width).reshape(-1, width).view(">i8").astype(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(words[:, i]) for i in range(lanes)]], names=[id_col, *[f"l{i}" for i in range(lanes)]])
+
+    schema = f"`{id_col}` {kind}, " + ", ".join(f"l{i} bigint" for i in range(lanes))
+    return codes.select(id_col, code_col).mapInArrow(run, schema)
+
+
 def _group_keys(df: DataFrame, id_col: str, masks: list[list[int]], within: Column | None = None) -> DataFrame:
     """(key, id, pre): a row per code and group of bits; ``pre`` is the bucket that is split, or NULL."""
     n = len(masks[0])

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import bits
-from ..operators.pigeonhole import HOT_BUCKET, near_lanes
+from ..operators.pigeonhole import HOT_BUCKET, lane_table, near_lanes
 from ..session import stored
 
 
@@ -35,7 +35,7 @@ def near_codes(codes: DataFrame, max_bits: int, id_col: str = "cid", code_col: s
 
     ``codes`` has one row per distinct code: an id and the code as binary of 128 bytes.
     """
-    wide = codes.select(F.col(id_col).alias("cid"), F.hex(code_col).alias("h")).select("cid", *bits.lanes(F.col("h")))
+    wide = lane_table(codes.select(F.col(id_col).alias("cid"), F.col(code_col).alias("code")), "cid", "code")
     return near_lanes(stored(wide, "lanes"), max_bits, hot=hot)
 
 

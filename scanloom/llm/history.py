@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..functions import bits
 from ..functions.ids import canonical_id
-from ..operators.pigeonhole import HOT_BUCKET, split_rows
+from ..operators.pigeonhole import HOT_BUCKET, lane_table, split_rows
 from ..session import cut, scratch_path, stored
 from .hamming_groups import code_rows
 
@@ -69,6 +69,13 @@ def pivot_keys(words: np.ndarray, pivots: np.ndarray, masks: np.ndarray) -> tupl
     return keys, whole
 
 
+def _words(codes: pa.Array) -> np.ndarray:
+    """Binary codes as rows of unsigned 64-bit words."""
+    code = codes.cast(pa.binary(WIDTH))
+    words = np.frombuffer(code.buffers()[1], np.uint8, offset=code.offset * WIDTH, count=len(code) * WIDTH)
+    return words.reshape(-1, WIDTH).view(">u8").astype(np.uint64)
+
+
 def pivot_table(codes: DataFrame, max_bits: int) -> DataFrame:
     """(key, cid, d0): one row per code (cid, code) and segment.
 
@@ -81,11 +88,8 @@ def pivot_table(codes: DataFrame, max_bits: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            code = batch.column("code").cast(pa.binary(WIDTH))
-            words = np.frombuffer(code.buffers()[1], np.uint8, offset=code.offset * WIDTH, count=len(code) * WIDTH)
-            words = words.reshape(-1, WIDTH).view(">u8").astype(np.uint64)
-            keys, whole = pivot_keys(words, pivots, masks)
-            rep = np.repeat(np.arange(len(words)), keys.shape[1])
+            keys, whole = pivot_keys(_words(batch.column("code")), pivots, masks)
+            rep = np.repeat(np.arange(len(keys)), keys.shape[1])
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), batch.column("cid").take(pa.array(rep)), pa.array(whole[rep].astype(np.int32))], names=["key", "cid", "d0"])
 
     return codes.select("cid", "code").mapInArrow(run, "key bigint, cid bigint, d0 int")
@@ -95,16 +99,18 @@ def _cell(band: Column) -> Column:
     return F.xxhash64("key", band.cast("int"))
 
 
-def _lanes(codes: DataFrame) -> DataFrame:
-    return codes.select("cid", F.hex("code").alias("h")).select("cid", *bits.lanes(F.col("h")))
-
-
 def _verified(pairs: DataFrame, left: DataFrame, right: DataFrame, max_bits: int) -> DataFrame:
     """Pairs (a, b) whose true distance is within the bound."""
-    a = _lanes(left).select(F.col("cid").alias("a"), *[F.col(f"l{i}").alias(f"a_l{i}") for i in range(bits.LANES)])
-    b = right.select(F.col("cid").alias("b"), F.hex("code").alias("hb"))
-    wide = pairs.join(a, "a").join(b, "b").select("a", "b", *[f"a_l{i}" for i in range(bits.LANES)], *[bits.lane(F.col("hb"), i).alias(f"b_l{i}") for i in range(bits.LANES)])
-    return wide.where(bits.distance("a_", "b_") <= max_bits).select("a", "b")
+    a = left.select(F.col("cid").alias("a"), F.col("code").alias("ca"))
+    b = right.select(F.col("cid").alias("b"), F.col("code").alias("cb"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                near = np.bitwise_count(_words(batch.column(2)) ^ _words(batch.column(3))).sum(axis=1) <= max_bits
+                yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(near)) for i in range(2)], names=["a", "b"])
+
+    return pairs.join(a, "a").join(b, "b").select("a", "b", "ca", "cb").mapInArrow(run, "a bigint, b bigint")
 
 
 def _within(young: DataFrame, old: DataFrame, max_bits: int, key: str) -> DataFrame:
@@ -188,7 +194,7 @@ class History:
         rows = met.withColumn("old", F.lit(True)).union(asked.withColumn("old", F.lit(False)))
         rows = stored(rows.join(crowded, "cell").select(F.col("cell").alias("key"), "cid", "d0", "old", "n"), "rows")
         ids = rows.select("cid", "d0", "old").distinct()
-        wide = stored(_lanes(codes.union(self._before("codes", batch_no).select("cid", "code")).join(ids, "cid", "left_semi")), "lanes")
+        wide = stored(lane_table(codes.union(self._before("codes", batch_no).select("cid", "code")).join(ids, "cid", "left_semi"), "cid", "code"), "lanes")
         parts = [finer.join(ids, "cid") for finer in split_rows(rows.select("key", "cid", "n"), wide, "cid", bits.band_count(self.max_bits), self.hot)]
         both = reduce(DataFrame.union, [x.select("key", "cid", "d0", "old") for x in parts])
         return _within(both.where("not old"), both.where("old"), self.max_bits, "key")

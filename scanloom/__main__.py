@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .operators import crosswalk, ordering, profile, reconcile, resolve, rollup
 from .plans import anonymise, dedup, preprocess
 from .session import DEFAULTS, clear_scratch, stored
-from .sinks.store import append_outcomes, copy_verified, write_store
+from .sinks.store import append_outcomes, copy_verified, export_video, write_store
 from .sources import archives, store, tabular
 from .streaming import ingest
 
@@ -57,8 +57,8 @@ def run_dedup(a: argparse.Namespace) -> None:
 
 def run_crosswalk(a: argparse.Namespace) -> None:
     spark = _spark()
-    prior = tabular.read_csv(spark, a.prior) if a.prior else None
-    new, every = crosswalk.build(tabular.read_csv(spark, a.input), prior, a.mrn_col, a.acc_col, a.label, a.mrn_len, a.acc_len, a.salt)
+    prior = tabular.numbered_csv(spark, a.prior) if a.prior else None
+    new, every = crosswalk.build(tabular.read_csv(spark, a.input), prior, a.mrn_col, a.acc_col, a.label, a.mrn_len, a.acc_len, a.salt, tabular.ROW if a.prior else None)
     ids = [F.col(f"`{c}`") for c in (a.mrn_col, a.acc_col, "anon_mrn", "anon_accession")]
     tabular.write_csv(new.select(*ids), f"{a.output}/{a.label}_batch_anon")
     tabular.write_csv(every.select(*ids), f"{a.output}/{a.label}_concat_anon")
@@ -82,8 +82,8 @@ def run_tar(a: argparse.Namespace) -> None:
         members = archives.members(spark, a.root, "zip")
     else:
         members = archives.folder_files(spark, a.root)
-    xw = tabular.read_csv(spark, a.crosswalk) if a.crosswalk else None
-    append_outcomes(anonymise.run(members, a.mode, a.output, xw), f"{a.output}/_outcomes")
+    xw = tabular.numbered_csv(spark, a.crosswalk) if a.crosswalk else None
+    append_outcomes(anonymise.run(members, a.mode, a.output, xw, tabular.ROW), f"{a.output}/_outcomes")
 
 
 def run_copy(a: argparse.Namespace) -> None:
@@ -125,7 +125,18 @@ def run_counts(a: argparse.Namespace) -> None:
 
 def run_chunks(a: argparse.Namespace) -> None:
     n = tabular.read_bulk(_spark(), a.bulk).agg(F.count(F.lit(1)).alias("n"))
-    n.select(F.explode(profile.chunk_plan(F.col("n"), a.size)).alias("start")).show(100_000)
+    starts = n.select(F.explode(profile.chunk_plan(F.col("n"), a.size)).alias("start"))
+    if a.output:
+        tabular.write_csv(starts, f"{a.output}/chunks")
+    else:
+        for row in starts.toLocalIterator():
+            print(row["start"])
+
+
+def run_video(a: argparse.Namespace) -> None:
+    spark = _spark()
+    frames = store.read_frames(spark, a.root, a.prefix)
+    append_outcomes(export_video(frames, a.output, a.fps, series=store.read_series(spark, a.root)), f"{a.output}/_outcomes")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -153,7 +164,8 @@ def parser() -> argparse.ArgumentParser:
     command("copy", run_copy, source=need, output=need, crosswalk=need)
     command("checksum", run_checksum, input=need, output=need, compare=(None, str), common_only=(False, bool))
     command("counts", run_counts, root=need, output=(".", str))
-    command("chunks", run_chunks, bulk=need, size=(profile.CHUNK, int))
+    command("video", run_video, root=need, output=need, prefix=(None, str), fps=(24, int))
+    command("chunks", run_chunks, bulk=need, output=(None, str), size=(profile.CHUNK, int))
     return p
 
 

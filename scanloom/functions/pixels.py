@@ -137,6 +137,11 @@ def equalize(plane: np.ndarray) -> np.ndarray:
     return np.minimum((step // 2 + below) // step, 255)[levels].astype(np.float64)
 
 
+def median_bits(plane: np.ndarray) -> np.ndarray:
+    """The values above the median of a plane, as booleans; values at the median are not."""
+    return plane > np.median(plane)
+
+
 def fingerprint(plane: np.ndarray) -> bytes | None:
     """128 bytes of a plane: bits above the median of a smoothed, equalised 32 x 32 thumbnail.
 
@@ -150,4 +155,4 @@ def fingerprint(plane: np.ndarray) -> bytes | None:
     grey = np.floor((plane - low) / (high - low) * 255)
     thumb = equalize(stretch(box_blur(resize(grey, SMOOTH_SIDE, SMOOTH_SIDE, steps=True), BLUR_RADIUS)))
     thumb = resize(thumb, GRID, GRID, steps=True)
-    return np.packbits(thumb > np.median(thumb)).tobytes()
+    return np.packbits(median_bits(thumb)).tobytes()

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.anon import check_length, hashed_id, random_id
-from ..session import cut
+from ..session import cut, cut_counted
 
 MAX_ATTEMPTS = 1000
 PREVIEW = 10
@@ -66,35 +66,37 @@ def preview(df: DataFrame, column: str, n: int = PREVIEW) -> str:
 
 
 def assign_ids(new: DataFrame, prior: DataFrame, key: str, out: str, length: int, salt: str | None = None, order: list[Column] | None = None, attempts: int = MAX_ATTEMPTS) -> DataFrame:
-    """(key, out) for each distinct key of the new batch: the first prior id, else a fresh one.
+    """(key, out) for each distinct key of the new batch: the id of the first prior row in ``order``, else a fresh one.
 
     Fresh ids are salted hashes, or random without a salt. An id that collides with a known or another
-    fresh one is drawn again, round by round; after ``attempts`` rounds it is an error.
+    fresh one is drawn again, round by round; after ``attempts`` rounds it is an error. A round is written
+    once; random ids are written before they are judged, as a task that runs again would draw others.
     """
     check_length(length)
     known = first_by(prior.where(F.col(out).isNotNull()), [key], order or [F.col(out)]).select(key, out)
-    mine = new.select(key).distinct()
-    done = mine.join(known, key)
-    open_ = mine.join(known, key, "left_anti")
+    mine = new.select(key).distinct().join(known, key, "left")
+    done, open_ = mine.where(F.col(out).isNotNull()), mine.where(F.col(out).isNull()).select(key)
     taken = prior.select(out).where(F.col(out).isNotNull()).distinct()
     for attempt in range(attempts):
         drawn = open_.withColumn(out, hashed_id(F.col(key), salt, length, F.lit(attempt)) if salt is not None else random_id(length))
-        drawn = cut(drawn.join(taken.withColumn("__taken", F.lit(1)), out, "left"))
+        drawn = drawn if salt is not None else cut(drawn)
         w = Window.partitionBy(out).orderBy(key)
         ok = F.col("__taken").isNull() & (F.col("__rn") == 1)
-        judged = cut(drawn.withColumn("__rn", F.row_number().over(w)).select(key, out, ok.alias("ok")))
+        judged = drawn.join(taken.withColumn("__taken", F.lit(1)), out, "left").withColumn("__rn", F.row_number().over(w)).select(key, out, ok.alias("ok"))
+        judged, collided = cut_counted(judged, ~F.col("ok"))
         good = judged.where("ok").select(key, out)
         done, taken = done.unionByName(good), taken.union(good.select(out))
-        open_ = judged.where("not ok").select(key)
-        if not open_.head(1):
+        if not collided:
             return done
+        open_ = judged.where("not ok").select(key)
     raise RuntimeError(f"no free id of length {length} after {attempts} attempts")
 
 
-def build(new: DataFrame, prior: DataFrame | None, mrn: str, acc: str, label: str = "batch", mrn_len: int = 10, acc_len: int = 12, salt: str | None = None) -> tuple[DataFrame, DataFrame]:
+def build(new: DataFrame, prior: DataFrame | None, mrn: str, acc: str, label: str = "batch", mrn_len: int = 10, acc_len: int = 12, salt: str | None = None, order: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(new rows with ids, all rows): guards first, then ids, then guards on the result.
 
-    Ids are read as text. Scans keep the id of a prior batch; a scan twice in one batch is an error, as
+    Ids are read as text. Scans keep the id of a prior batch, patients and scans that of their first prior
+    row by ``order``, a column of the prior crosswalk that the results leave out; a scan twice in one batch is an error, as
     one scan would have two rows claiming one id. Both results are cut before they are checked, so what
     is checked is what is written.
     """
@@ -113,9 +115,12 @@ def build(new: DataFrame, prior: DataFrame | None, mrn: str, acc: str, label: st
         raise RuntimeError("the prior crosswalk gives one patient several ids")
     if new.groupBy(f"`{acc}`").count().where("count > 1").head(1):
         raise RuntimeError("a scan occurs twice in the new batch")
+    first = [F.col("__order")] if order else None
+    rank = [F.col(f"`{order}`").alias("__order")] if order else []
     plain = lambda df, c: df.select(F.col(f"`{c}`").alias("k"))
-    patients = assign_ids(plain(new, mrn), prior.select(F.col(f"`{mrn}`").alias("k"), "anon_mrn"), "k", "anon_mrn", mrn_len, salt)
-    scans = assign_ids(plain(new, acc), prior.select(F.col(f"`{acc}`").alias("k"), "anon_accession"), "k", "anon_accession", acc_len, salt)
+    patients = assign_ids(plain(new, mrn), prior.select(F.col(f"`{mrn}`").alias("k"), "anon_mrn", *rank), "k", "anon_mrn", mrn_len, salt, first)
+    scans = assign_ids(plain(new, acc), prior.select(F.col(f"`{acc}`").alias("k"), "anon_accession", *rank), "k", "anon_accession", acc_len, salt, first)
+    prior = prior.drop(order) if order else prior
     done = (
         new.join(patients.withColumnRenamed("k", "__m"), F.col(f"`{mrn}`") == F.col("__m")).drop("__m")
         .join(scans.withColumnRenamed("k", "__a"), F.col(f"`{acc}`") == F.col("__a")).drop("__a").withColumn("batch", F.lit(label))

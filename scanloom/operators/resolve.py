@@ -48,18 +48,20 @@ def tally(outcomes: DataFrame) -> DataFrame:
     return outcomes.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
-def anonymised(archives: DataFrame, crosswalk: DataFrame, on: list[tuple[Column, str]], ids: list[str]) -> tuple[DataFrame, DataFrame]:
+def anonymised(archives: DataFrame, crosswalk: DataFrame, on: list[tuple[Column, str]], ids: list[str], order: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(archives with their anonymous ids, outcomes of the others).
 
     ``on`` pairs an expression over the archives with a crosswalk column. Crosswalk rows with a NULL in
-    any column are left out. An archive without a crosswalk row is ``not_in_crosswalk`` and never goes
-    on: it would leave under its real ids.
+    any column are left out. Of several rows with one key the first by ``order``, a column of the crosswalk,
+    is taken as a whole, so ids of different rows never mix; without an order the smallest ids. An archive
+    without a crosswalk row is ``not_in_crosswalk`` and never goes on: it would leave under its real ids.
     """
     whole = F.lit(True)
     for c in crosswalk.columns:  # quoted, as crosswalk columns may hold dots
         whole = whole & F.col(f"`{c}`").isNotNull()
-    clean = crosswalk.where(whole).select(*[F.col(f"`{c}`").cast("string").alias(f"__k{i}") for i, (_, c) in enumerate(on)], *[F.col(f"`{c}`") for c in ids])
-    clean = clean.groupBy(*[f"__k{i}" for i in range(len(on))]).agg(*[F.min(f"`{c}`").alias(c) for c in ids])
-    keyed = archives.withColumns({f"__k{i}": e.cast("string") for i, (e, _) in enumerate(on)})
     names = [f"__k{i}" for i in range(len(on))]
+    row = F.struct(*([F.col(f"`{order}`").alias("__order")] if order else []), *[F.col(f"`{c}`").alias(f"__v{i}") for i, c in enumerate(ids)])
+    clean = crosswalk.where(whole).select(*[F.col(f"`{c}`").cast("string").alias(k) for k, (_, c) in zip(names, on)], row.alias("__row"))
+    clean = clean.groupBy(*names).agg(F.min("__row").alias("__row")).select(*names, *[F.col(f"__row.__v{i}").alias(c) for i, c in enumerate(ids)])
+    keyed = archives.withColumns({k: e.cast("string") for k, (e, _) in zip(names, on)})
     return keyed.join(clean, names).drop(*names), keyed.join(clean, names, "left_anti").drop(*names).withColumn("status", F.lit("not_in_crosswalk"))

@@ -9,7 +9,7 @@ is not clearly the smallest is flagged as not unique.
 
 Defined results: text without exactly one number, NULL and null words state nothing; zero is no
 strength; empty tables give empty results; repeated rows are rows of their own; other columns are
-ignored. Everything is JVM expressions over one scan and one small aggregate.
+ignored. Everything is JVM expressions, over the distinct texts and one small aggregate.
 """
 
 from __future__ import annotations
@@ -46,8 +46,9 @@ class Unit:
     prefixes: tuple[str, ...]
 
 
+TESLA = ("t", "tesla", "teslas")
 FIELD_UNITS = (
-    Unit(("t", "tesla", "teslas"), 1e3, ("", "m", "milli", "u", "µ", "micro", "mega")),
+    Unit(TESLA, 1e3, ("", "m", "milli", "u", "µ", "micro", "mega")),
     Unit(("g", "gs", "gauss"), 0.1, ("", "k", "kilo", "m", "milli")),
     Unit(("hz", "hertz"), 1e3 / (PROTON_MHZ_PER_TESLA * 1e6), ("", "k", "kilo", "mega", "m", "g")),
 )
@@ -133,20 +134,42 @@ def named_unit(text: Column) -> Column:
     return F.when(announced != "", announced).otherwise(worded)
 
 
+def value_readings(values: DataFrame) -> DataFrame:
+    """(raw, numbers array<double>, own array<double>, digits) of the distinct texts ``raw`` that state one number.
+
+    ``own`` are the factors of the unit in the text itself, NULL if it has none; digits: nothing but a plain number.
+    """
+    base = values.where("raw is not null").distinct().withColumn("plain", plain_text(F.col("raw"))).withColumn("nums", numbers(F.col("plain")))
+    unit = stated_unit(F.col("plain"))
+    found = base.where(F.size("nums") == 1).select(
+        "raw", number_readings(F.get("nums", F.lit(0))).alias("numbers"), F.when(unit != "", _factors(unit)).alias("own"),
+        F.col("raw").rlike(r"^(\d+\.?\d*|\.\d+)$").alias("digits"), unit.isin(*TESLA).alias("own_tesla"),
+    )
+    return found.where(F.size("numbers") > 0)
+
+
+def context_units(texts: DataFrame) -> DataFrame:
+    """(text, factors, tesla) of the distinct texts that name a unit."""
+    named = texts.where("text is not null").distinct().withColumn("unit", named_unit(F.col("text"))).where("unit <> ''")
+    return named.select("text", _factors(F.col("unit")).alias("factors"), F.col("unit").isin(*TESLA).alias("tesla"))
+
+
 def readings(df: DataFrame, id_col: str, value_col: str, group_col: str, context_cols: tuple[str, ...]) -> DataFrame:
-    """(row_id, grp, plain_number, options): every pair of readings in the common unit."""
-    plain = plain_text(F.col(value_col))
-    base = df.select(
-        F.col(id_col).alias("row_id"), F.col(group_col).alias("grp"), F.col(value_col).alias("raw"), plain.alias("plain"),
-        *[named_unit(F.col(c)).alias(f"u{i}") for i, c in enumerate(context_cols)],
-    ).withColumn("nums", numbers(F.col("plain")))
-    own = stated_unit(F.col("plain"))
-    context = F.coalesce(*[F.when(F.col(f"u{i}") != "", F.col(f"u{i}")) for i in range(len(context_cols))], F.lit("tesla"))
-    base = base.where(F.size("nums") == 1).withColumn("unit", F.when(own != "", own).otherwise(context))
-    digits_only = F.col("raw").rlike(r"^(\d+\.?\d*|\.\d+)$")
-    tesla = F.col("unit").isin("t", "tesla", "teslas")
-    options = F.flatten(F.transform(number_readings(F.get("nums", F.lit(0))), lambda v: F.transform(_factors(F.col("unit")), lambda f: v * f)))
-    return base.select("row_id", "grp", (digits_only & tesla).alias("plain_number"), F.array_distinct(options).alias("options")).where(F.size("options") > 0)
+    """(row_id, grp, plain_number, options): every pair of readings in the common unit.
+
+    Texts repeat, so each distinct value and each distinct context is read once and joined back.
+    """
+    texts = [F.col(c).alias(f"c{i}") for i, c in enumerate(context_cols)]
+    rows = df.select(F.col(id_col).alias("row_id"), F.col(group_col).alias("grp"), F.col(value_col).alias("raw"), *texts)
+    found = rows.join(stored(value_readings(rows.select("raw")), "values"), "raw")
+    for i in range(len(context_cols)):
+        units = stored(context_units(rows.select(F.col(f"c{i}").alias("text"))), "contexts")
+        found = found.join(units.select(F.col("text").alias(f"c{i}"), F.col("factors").alias(f"f{i}"), F.col("tesla").alias(f"t{i}")), f"c{i}", "left")
+    others = [f"{i}" for i in range(len(context_cols))]
+    factors = F.coalesce("own", *[f"f{i}" for i in others], F.array(F.lit(1e3)))
+    tesla = F.when(F.col("own").isNotNull(), F.col("own_tesla")).otherwise(F.coalesce(*[f"t{i}" for i in others], F.lit(True)))
+    options = F.flatten(F.transform("numbers", lambda v: F.transform(factors, lambda f: v * f)))
+    return found.select("row_id", "grp", (F.col("digits") & tesla).alias("plain_number"), F.array_distinct(options).alias("options")).where(F.size("options") > 0)
 
 
 def common_values(df: DataFrame, id_col: str, value_col: str, group_col: str, context_cols: tuple[str, ...]) -> DataFrame:

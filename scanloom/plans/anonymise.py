@@ -25,6 +25,7 @@ class Mode:
     on: tuple[tuple[str, str], ...] = ()  # header column to crosswalk column
     anon: tuple[str, str] = ("anon_mrn", "anon_accession")
     rewrite: tuple[tuple[str, str], ...] = ()  # DICOM keyword to: mrn, acc, redacted or a literal
+    merges: bool = False  # several archives make one study
     by_series: bool = False  # regroup a flat study into a folder per series
 
 
@@ -37,7 +38,7 @@ MODES = {
     "penn": Mode("tags", by_series=True),
     "segmed": Mode("crosswalk", (("study_uid", "Study ID"),), ("anon_mrn", "anon_uid"), (("PatientID", "mrn"), ("AccessionNumber", "acc"))),
     "dasa": Mode("crosswalk", (("mrn_tag", "accession"),), rewrite=(("PatientID", "mrn"), ("AccessionNumber", "acc"))),
-    "ukbiobank": Mode("crosswalk", (("eid", "f.eid"), ("instance", "instance")), rewrite=(("PatientID", "mrn"), ("AccessionNumber", "acc"), ("PatientName", "redacted")), by_series=True),
+    "ukbiobank": Mode("crosswalk", (("eid", "f.eid"), ("instance", "instance")), rewrite=(("PatientID", "mrn"), ("AccessionNumber", "acc"), ("PatientName", "redacted")), merges=True, by_series=True),
 }
 HEAD = "archive string, folder string, member string, series_raw string, mrn_tag string, accession_tag string, study_uid string"
 
@@ -63,12 +64,13 @@ def _text(what: str, mrn: Column, acc: Column) -> Column:
     return {"mrn": mrn, "acc": acc, "redacted": naming.redacted(mrn)}.get(what, F.lit(what.removeprefix("=")))
 
 
-def run(members: DataFrame, mode: str, target: str, crosswalk: DataFrame | None = None) -> DataFrame:
+def run(members: DataFrame, mode: str, target: str, crosswalk: DataFrame | None = None, order: str | None = None) -> DataFrame:
     """(unit, status, detail) of every study: written archives and those that were held back.
 
     A study's ids come from its first readable file in natural order. Studies that the crosswalk lacks
-    are ``not_in_crosswalk``, those without a readable file ``unreadable_header``; neither is written.
-    Sources are never changed.
+    are ``not_in_crosswalk``, those without a readable file ``unreadable_header``, those that would share a
+    name ``ambiguous``, unless the mode puts several archives together; none of these is written.
+    Of several crosswalk rows the first by the column ``order`` counts. Sources are never changed.
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode}; one of {', '.join(MODES)}")
@@ -81,7 +83,7 @@ def run(members: DataFrame, mode: str, target: str, crosswalk: DataFrame | None
     studies = studies.withColumns({"eid": naming.zip_ids(F.col("archive"))["eid"], "instance": naming.zip_ids(F.col("archive"))["instance"]})
     every = members.select("archive").distinct()
     if m.ids == "crosswalk":
-        found, refused = resolve.anonymised(studies, crosswalk, [(F.col(a), b) for a, b in m.on], list(m.anon))
+        found, refused = resolve.anonymised(studies, crosswalk, [(F.col(a), b) for a, b in m.on], list(m.anon), order)
         found = found.select("archive", F.col(m.anon[0]).alias("mrn"), F.col(m.anon[1]).alias("acc"))
         refused = refused.select("archive", "status")
     else:
@@ -89,6 +91,11 @@ def run(members: DataFrame, mode: str, target: str, crosswalk: DataFrame | None
         found = studies.select("archive", (F.col("mrn_tag") if m.ids == "tags" else stem).alias("mrn"), (F.col("accession_tag") if m.ids == "tags" else F.lit(None).cast("string")).alias("acc"))
         refused = found.where("mrn is null").select("archive", F.lit("not_found").alias("status"))
         found = found.where("mrn is not null")
+    if not m.merges:
+        several = F.count(F.lit(1)).over(Window.partitionBy("mrn", "acc"))
+        counted = stored(found.withColumn("n", several), "studies")
+        refused = refused.union(counted.where("n > 1").select("archive", F.lit("ambiguous")))
+        found = counted.where("n = 1").drop("n")
     unread = every.join(heads.select("archive").distinct(), "archive", "left_anti").select("archive", F.lit("unreadable_header").alias("status"))
     name = F.concat(F.concat_ws("-", "mrn", "acc"), F.lit(".tgz"))
     tags = F.create_map(*[x for k, v in m.rewrite for x in (F.lit(k), _text(v, F.col("mrn"), F.col("acc")))]) if m.rewrite else F.create_map().cast("map<string,string>")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.ids import canonical_id_sql
 from ..operators import orphans, units
 from ..session import table
+from . import exchange
 
 ORPHAN_REFS = [
     orphans.Reference(t, f, row, "loaded_at", "store_files", f, "stored_at", "removed_at")
@@ -56,7 +57,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return p6_values(spark, d).where("not plain_number").select("row_id", F.round("value").cast("bigint").alias("field_mt"))
 
 
-QUERIES = {"p6_found": p6_found, "p6_values": p6_values, "p5_found": p5_found, "p5_months": p5_months, "p5_cascade": p5_cascade}
+QUERIES = exchange.QUERIES | {"p6_found": p6_found, "p6_values": p6_values, "p5_found": p5_found, "p5_months": p5_months, "p5_cascade": p5_cascade}
 
 
 def _orphan_sql() -> str:
@@ -119,7 +120,7 @@ f as (select row_id, try_cast(v as double) * factor mt from e join u on name = r
 select row_id, round(arg_min(mt, abs(ln(mt / 1500))))::bigint field_mt from f group by row_id"""
 
 
-SQL = {
+SQL = exchange.SQL | {
     "p5_cascade": f"{_report_sql()} select ref_table, ref_field, row_id, kind, depth::int as depth, strftime(t, '%Y-%m') as month from report",
     "p6_found": _unit_sql(),
     "p5_found": f"select ref_table, ref_field, row_id, kind from ({_orphan_sql()})",

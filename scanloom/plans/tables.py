@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import layout, naming, natural
+from ..functions import layout, naming, natural, pixels
 from ..functions.anon import hashed_id
 from ..functions.ids import canonical_id, canonical_id_sql
 from ..operators import checksum, components, crosswalk, hamming_join, ordering, profile, reconcile, resolve, rollup, views
@@ -80,37 +80,28 @@ def folder_cap(spark: SparkSession, d: str) -> DataFrame:
     return ordering.folder_cap(folders, ["o_custkey"], order, frames_max=30).select("o_custkey", "o_orderkey", "n", "rank", "running")
 
 
-_NATURAL_SQL = "list_aggregate(list_transform(regexp_extract_all({c}, '\\d+|\\D+'), lambda r: case when regexp_matches(r, '^\\d') then lpad(r, 20, '0') else r end), 'string_agg', '')"
-
-
-@query(f"""select s.series_description, row_number() over (order by {_NATURAL_SQL.format(c='s.series_description')}, s.series_description)::int place
-from (select distinct series_description from metadata_catalog where series_description is not null) s order by place limit 100""")
-def natural_order(spark: SparkSession, d: str) -> DataFrame:
-    """The first 100 series names in natural order (a top-k report)."""
-    names = table(spark, d, "metadata_catalog").select("series_description").where("series_description is not null").distinct()
-    top = profile.top_rows(names.withColumn("k", natural.natural_text(F.col("series_description"))), [F.col("k"), F.col("series_description")], 100)
-    return top.withColumn("place", ordering_place(["k", "series_description"])).select("series_description", "place")
-
-
-def ordering_place(by: list[str]) -> Column:
-    """Rank over a result that is already cut to a top-k."""
-    from pyspark.sql import Window
-
-    return F.row_number().over(Window.orderBy(*by))
-
-
 _NATURAL_KEY_SQL = """list_transform(regexp_extract_all(series_description, '\\d+|\\D+'), lambda r: case when regexp_matches(r, '^\\d')
 then {'is_text': 0, 'width': greatest(length(ltrim(r, '0')), 1), 'run': coalesce(nullif(ltrim(r, '0'), ''), '0')} else {'is_text': 1, 'width': 0, 'run': r} end)"""
 
 
-@query(f"""select series_description, row_number() over (order by {_NATURAL_KEY_SQL}, series_description)::bigint place
-from (select distinct series_description from metadata_catalog where series_description is not null)""")
+_PLACES_SQL = f"""select series_description, row_number() over (order by {_NATURAL_KEY_SQL}, series_description)::bigint place
+from (select distinct series_description from metadata_catalog where series_description is not null)"""
+
+
+@query(_PLACES_SQL)
 def natural_places(spark: SparkSession, d: str) -> DataFrame:
     """The place of every series name in natural order."""
     names = table(spark, d, "metadata_catalog").select("series_description").where("series_description is not null").distinct()
     return ordering.places(names, [natural.natural_key(F.col("series_description")), F.col("series_description")])
 
 
+@query(f"""with o as ({_PLACES_SQL}) select m.row_id, o.place from metadata_catalog m join o using (series_description)""")
+def natural_order(spark: SparkSession, d: str) -> DataFrame:
+    """Every catalogue row with the place of its name in natural order."""
+    names = table(spark, d, "metadata_catalog").select("row_id", "series_description").where("series_description is not null")
+    return names.join(natural_places(spark, d), "series_description").select("row_id", "place")
+
+
 # -- names --------------------------------------------------------------------------------------------
 
 
@@ -200,13 +191,6 @@ def crosswalk_counts(spark: SparkSession, d: str) -> DataFrame:
 _COPY = f"select row_id, batch_no, {canonical_id_sql('anon_accession')} a from copy_crosswalk"
 
 
-@query(f"select row_id from ({_COPY}) n where batch_no = 3 and a in (select a from ({_COPY}) p where batch_no < 3 and a is not null)")
-def scan_duplicates(spark: SparkSession, d: str) -> DataFrame:
-    """Rows of batch 3 whose scan an earlier batch has: a warning, not an error."""
-    df = table(spark, d, "copy_crosswalk").select("row_id", "batch_no", canonical_id(F.col("anon_accession")).alias("a"))
-    return crosswalk.repeated_rows(df.where("batch_no = 3"), df.where("batch_no < 3"), "a").select("row_id")
-
-
 @query(f"""select row_id from ({_COPY}) n join (select a, min(batch_no) first from ({_COPY}) where a is not null and batch_no is not null group by a) p using (a) where batch_no > first""")
 def scan_repeats(spark: SparkSession, d: str) -> DataFrame:
     """Rows of every batch whose scan an earlier batch has."""
@@ -215,6 +199,13 @@ def scan_repeats(spark: SparkSession, d: str) -> DataFrame:
     return df.join(first, "a").where("batch_no > first").select("row_id")
 
 
+@query(f"select row_id from ({_COPY}) n where batch_no > 0 and a in (select a from ({_COPY}) p where batch_no = 0 and a is not null)")
+def scan_duplicates(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of later batches whose scan the first batch has: a warning, not an error."""
+    df = table(spark, d, "copy_crosswalk").select("row_id", "batch_no", canonical_id(F.col("anon_accession")).alias("a"))
+    return crosswalk.repeated_rows(df.where("batch_no > 0"), df.where("batch_no = 0"), "a").select("row_id")
+
+
 @query("""select mrn, accession, xw_id from (select *, row_number() over (partition by mrn, accession order by xw_id) rn from archive_crosswalk) where rn = 1""")
 def first_rows(spark: SparkSession, d: str) -> DataFrame:
     """The first crosswalk row of each study, in input order."""
@@ -286,12 +277,13 @@ def target_collisions(spark: SparkSession, d: str) -> DataFrame:
     return resolve.collisions(df, ["crosswalk_mrn", "crosswalk_accession"]).select("row_id", "crosswalk_mrn", "crosswalk_accession", "n_rows")
 
 
-@query("""with x as (select accession, min(anon_mrn) anon_mrn, min(anon_accession) anon_accession from archive_crosswalk where mrn is not null and accession is not null and anon_mrn is not null and anon_accession is not null and batch is not null group by accession)
-select row_id, c.accession, anon_mrn, anon_accession from metadata_catalog c join x on x.accession = c.accession""")
+@query("""with x as (select * from archive_crosswalk where mrn is not null and accession is not null and anon_mrn is not null and anon_accession is not null and batch is not null and loaded_at is not null
+qualify row_number() over (partition by accession order by xw_id) = 1)
+select row_id, c.accession, x.anon_mrn, x.anon_accession from metadata_catalog c join x on x.accession = c.accession""")
 def anonymise_lookup(spark: SparkSession, d: str) -> DataFrame:
-    """Catalogue rows under their anonymous ids; rows without a complete crosswalk row are held back."""
-    xw = table(spark, d, "archive_crosswalk")
-    done, _ = resolve.anonymised(table(spark, d, "metadata_catalog").select("row_id", "accession"), xw.select("mrn", "accession", "anon_mrn", "anon_accession", "batch"), [(F.col("accession"), "accession")], ["anon_mrn", "anon_accession"])
+    """Catalogue rows under the anonymous ids of their first complete crosswalk row; others are held back."""
+    xw = table(spark, d, "archive_crosswalk").select("xw_id", "mrn", "accession", "anon_mrn", "anon_accession", "batch", "loaded_at")
+    done, _ = resolve.anonymised(table(spark, d, "metadata_catalog").select("row_id", "accession"), xw, [(F.col("accession"), "accession")], ["anon_mrn", "anon_accession"], "xw_id")
     return done.select("row_id", "accession", "anon_mrn", "anon_accession")
 
 
@@ -309,10 +301,11 @@ join (select mrn, arg_min(anon_mrn, xw_id) anon_mrn from archive_crosswalk where
 join (select mrn, accession, arg_min(anon_accession, xw_id) anon_accession from archive_crosswalk where mrn is not null and accession is not null and anon_mrn is not null and anon_accession is not null group by 1, 2) y on y.mrn = r.mrn and y.accession = r.accession""")
 def composite_lookup(spark: SparkSession, d: str) -> DataFrame:
     """Patient id from the patient's first row, scan id from the row of patient and scan."""
-    xw = table(spark, d, "archive_crosswalk").na.drop(subset=["mrn", "accession", "anon_mrn", "anon_accession"])
-    patients = xw.groupBy("mrn").agg(F.min_by("anon_mrn", "xw_id").alias("anon_mrn"))
-    scans = xw.groupBy("mrn", "accession").agg(F.min_by("anon_accession", "xw_id").alias("anon_accession"))
-    return table(spark, d, "metadata_catalog").select("row_id", "mrn", "accession").join(patients, "mrn").join(scans, ["mrn", "accession"]).select("row_id", "anon_mrn", "anon_accession")
+    xw = table(spark, d, "archive_crosswalk").select("xw_id", "mrn", "accession", "anon_mrn", "anon_accession")
+    rows = table(spark, d, "metadata_catalog").select("row_id", "mrn", "accession")
+    known, _ = resolve.anonymised(rows, xw, [(F.col("mrn"), "mrn")], ["anon_mrn"], "xw_id")
+    both, _ = resolve.anonymised(known, xw, [(F.col("mrn"), "mrn"), (F.col("accession"), "accession")], ["anon_accession"], "xw_id")
+    return both.select("row_id", "anon_mrn", "anon_accession")
 
 
 @query("""select relpath from store_files where stored_at < timestamp '2024-07-01' intersect select relpath from store_files where removed_at is null""")
@@ -429,13 +422,26 @@ def _planes(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("p"))
 
 
+def _kernel(df: DataFrame, out: str, work) -> DataFrame:
+    """(vec_id, out): text made of each 8 x 8 plane by a kernel; planes of another size give NULL."""
+
+    def run(batches):
+        for b in batches:
+            texts = [work(np.asarray(p, np.float64).reshape(8, 8)) if p is not None and len(p) == 64 and all(x is not None for x in p) else None for p in b["p"]]
+            yield pd.DataFrame({"vec_id": b["vec_id"], out: texts})
+
+    return df.select("vec_id", "p").mapInPandas(run, f"vec_id bigint, {out} string")
+
+
+def _joined(values) -> str:
+    return ",".join(map(str, values))
+
+
 @query("""with p as (select vec_id, list_transform(embedding, lambda x: x::double) p from embeddings), b as (select *, list_min(p) lo, list_max(p) hi from p)
 select vec_id, array_to_string(list_transform(p, lambda x: greatest(0, least(255, trunc((x - lo) / (hi - lo + 1e-8) * 255)))::int), ',') grey from b""")
 def plane_normalize(spark: SparkSession, d: str) -> DataFrame:
     """Min-max scaling of 8 x 8 planes to 0..255, truncated."""
-    df = _planes(spark, d).withColumn("lo", F.array_min("p")).withColumn("hi", F.array_max("p"))
-    grey = F.transform("p", lambda x: F.greatest(F.lit(0), F.least(F.lit(255), ((x - F.col("lo")) / (F.col("hi") - F.col("lo") + 1e-8) * 255).cast("int"))).cast("string"))
-    return df.select("vec_id", F.array_join(grey, ",").alias("grey"))
+    return _kernel(_planes(spark, d), "grey", lambda p: _joined(pixels.to_u8(p).ravel().tolist()))
 
 
 _CODE_SQL = """p as (select vec_id, list_transform(embedding, lambda x: x::double) p from embeddings), m as (select vec_id, p, list_sort(p) s from p),
@@ -443,9 +449,7 @@ c as (select vec_id, array_to_string(list_transform(p, lambda x: case when x > (
 
 
 def _codes(spark: SparkSession, d: str) -> DataFrame:
-    df = _planes(spark, d).withColumn("s", F.array_sort("p"))
-    median = (F.get("s", F.lit(31)) + F.get("s", F.lit(32))) / 2
-    return df.withColumn("med", median).select("vec_id", F.array_join(F.transform("p", lambda x: F.when(x > F.col("med"), "1").otherwise("0")), "").alias("bits"))
+    return _kernel(_planes(spark, d), "bits", lambda p: "".join("01"[int(x)] for x in pixels.median_bits(p).ravel()))
 
 
 @query(f"with {_CODE_SQL} select vec_id, bits from c")
@@ -457,8 +461,25 @@ def plane_fingerprint(spark: SparkSession, d: str) -> DataFrame:
 @query("""select vec_id, array_to_string(list_transform(flatten([embedding[r * 8 + 2 : r * 8 + 7] for r in range(1, 7)]), lambda x: round_even(x::double * 1e6, 0)::bigint), ',') crop from (select vec_id, embedding from embeddings)""")
 def centre_crop(spark: SparkSession, d: str) -> DataFrame:
     """The central 6 x 6 part of each plane."""
-    rows = F.flatten(F.array(*[F.slice("p", r * 8 + 2, 6) for r in range(1, 7)]))
-    return _planes(spark, d).select("vec_id", F.array_join(F.transform(rows, lambda x: F.bround(x * 1e6).cast("bigint").cast("string")), ",").alias("crop"))
+    return _kernel(_planes(spark, d), "crop", lambda p: _joined(round(x * 1e6) for x in pixels.centre_crop(p, 6).ravel().tolist()))
+
+
+def _tent(k: int, n: int = 8, m: int = 12) -> list[float]:
+    """What each of n samples adds to place k of m, written down for the SQL: linear between the samples' centres."""
+    x = (k + 0.5) * n / m
+    shares = [max(0.0, 1 - abs(j + 0.5 - x)) for j in range(n)]
+    return [s / sum(shares) for s in shares]
+
+
+_TENTS = ", ".join(f"({k}, {_tent(k)!r}::double[])" for k in range(2, 11))
+
+
+@query(f"""with w(k, s) as (values {_TENTS}), p as (select vec_id, list_transform(embedding, lambda x: x::double) p from embeddings),
+f as (select vec_id, r.k rk, c.k ck, list_sum(list_transform(range(64), lambda i: p[i + 1] * r.s[i // 8 + 1] * c.s[i % 8 + 1])) v from p, w r, w c)
+select vec_id, string_agg(round_even(v * 1e4, 0)::bigint, ',' order by rk, ck) fitted from f group by vec_id""")
+def plane_fitted(spark: SparkSession, d: str) -> DataFrame:
+    """Each plane at frame size 12: resized, and the central 9 x 9 part."""
+    return _kernel(_planes(spark, d), "fitted", lambda p: _joined(round(x * 1e4) for x in pixels.fit_frame(p, 12).ravel().tolist()))
 
 
 def _near_sql(k: int) -> str:
@@ -573,7 +594,7 @@ near as materialized (select x.cid a, y.cid b, bit_count(xor(x.b, y.b)) dist fro
 
 
 def _manifest(spark: SparkSession, d: str) -> DataFrame:
-    df = table(spark, d, "fp_manifest").select("row_id", "source", "relpath", "series", "fp_hex")
+    df = table(spark, d, "fp_manifest").select("row_id", *rollup.MANIFEST)
     return hamming_join.valid_codes(df).where(F.col("fp_hex") != "0" * 256)
 
 
@@ -593,23 +614,12 @@ m as (select fa, fb, count(distinct sa) ms, sum(frames) fr, min((dist, sa, sb))
 rolled as materialized (select fa, fb, ms, a.n na, b.n nb, fr, best from m join n a on a.f = fa join n b on b.f = fb)"""
 
 
-def _file_pairs(spark: SparkSession, d: str) -> DataFrame:
-    rows = _manifest(spark, d)
-    codes = rows.groupBy("fp_hex").agg(F.min("row_id").alias("cid"))
-    named = stored(rows.join(codes, "fp_hex").select("cid", "source", "relpath", "series"), "named")
-    near = hamming_join.near_codes(rows, "row_id", "fp_hex", 10)
-    return rollup.file_pairs(rollup.frame_pairs(named, near), named, _MIN_SERIES)
-
-
 @query(f"""with {_ROLLUP} select fa[1] source_a, fa[2] file_a, fb[1] source_b, fb[2] file_b, ms::bigint matching_series, na::bigint n_series_a, nb::bigint n_series_b,
 round_even(ms / greatest(least(na, nb), 1), 4) match_fraction, best[1]::int min_hamming, fr::bigint matching_frames, best[2] example_series_a, best[3] example_series_b from rolled""")
 def dup_rollup(spark: SparkSession, d: str) -> DataFrame:
-    """The duplicate manifest: file pairs with at least two near-identical series."""
-    pairs = _file_pairs(spark, d)
-    return pairs.select(
-        F.col("file_a.source").alias("source_a"), F.col("file_a.relpath").alias("file_a"), F.col("file_b.source").alias("source_b"), F.col("file_b.relpath").alias("file_b"),
-        "matching_series", "n_series_a", "n_series_b", "match_fraction", "min_hamming", "matching_frames", "example_series_a", "example_series_b",
-    )
+    """The duplicate report: file pairs with at least two near-identical series."""
+    pairs, _ = dedup.report(_manifest(spark, d), min_series=_MIN_SERIES)
+    return pairs.drop("cluster_id")
 
 
 @query(f"""with recursive {_ROLLUP}, e as (select fa a, fb b from rolled union select fb, fa from rolled), w as (select a n, a r from e union select e.b, w.r from w join e on e.a = w.n and w.r < e.b),
@@ -617,8 +627,18 @@ b as (select n, min(r) g from w group by n), pn as (select a n, count(distinct b
 select b.n[1] source, b.n[2] relpath, dense_rank() over (order by g)::bigint cluster_id, k::bigint n_partners from b join pn on pn.n = b.n""")
 def dup_flagged(spark: SparkSession, d: str) -> DataFrame:
     """Flagged files with their clusters and numbers of partners."""
-    _, flagged = rollup.clustered(_file_pairs(spark, d))
-    return rollup.flagged_order(flagged)
+    _, flagged = dedup.report(_manifest(spark, d), min_series=_MIN_SERIES)
+    return flagged
+
+
+@query(f"""with {_ROLLUP}, kept as (select distinct source from r where source like 'a%' or source like 'm%')
+select fa[1] source_a, fa[2] file_a, fb[1] source_b, fb[2] file_b, ms::bigint matching_series from rolled where fa[1] in (select source from kept) or fb[1] in (select source from kept)""")
+def dup_against_reference(spark: SparkSession, d: str) -> DataFrame:
+    """The report of some sources against manifests of the others: pairs with a file of the scanned ones."""
+    rows = _manifest(spark, d)
+    new = F.coalesce(F.col("source").startswith("a") | F.col("source").startswith("m"), F.lit(False))
+    pairs, _ = dedup.report(rows.where(new), rows.where(~new), min_series=_MIN_SERIES)
+    return pairs.select("source_a", "file_a", "source_b", "file_b", "matching_series")
 
 
 @query("""with recursive e as (select distinct file_a a, file_b b from dup_manifest where file_a is not null and file_b is not null), u as (select a, b from e union select b, a from e),

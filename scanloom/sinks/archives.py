@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import io
-import os
 import tarfile
 from collections.abc import Iterator
 
@@ -12,27 +11,32 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources import dicom
+from ..sources.files import filesystem, part_name
 
 
 def write_archives(members: DataFrame, target: str) -> DataFrame:
     """(unit, status, detail): one tar.gz per ``name`` in the folder ``target``, which executors share.
 
     ``members`` has name, folder, member, content and optionally ``tags``, a map of DICOM values to set.
-    Rows are sorted by archive within partitions and written as they pass; an archive is visible under
-    its name only when whole.
+    ``target`` is a path or URI. Rows are sorted by archive within partitions and written as they pass; an
+    archive is visible under its name only when whole. Names keep inside the folder: what would lead out of
+    it, as a slash, becomes an underscore.
     """
     tags = F.col("tags") if "tags" in members.columns else F.create_map().cast("map<string,string>")
-    rows = members.select("name", "folder", "member", "content", tags.alias("tags")).repartition("name").sortWithinPartitions("name", "folder", "member")
+    name = F.regexp_replace(F.regexp_replace("name", r"[/\\\\\x00]", "_"), r"^\.+", "_")
+    rows = members.select(name.alias("name"), "folder", "member", "content", tags.alias("tags")).repartition("name").sortWithinPartitions("name", "folder", "member")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, tar, part, status, n = None, None, "", "written", 0
+        now, tar, stream, part, status, n = None, None, None, "", "written", 0
+        system, root = filesystem(target)
 
         def close() -> pa.RecordBatch:
             tar.close()
+            stream.close()
             if status == "written":
-                os.replace(part, os.path.join(target, now))
+                system.move(part, f"{root}/{now}")
             else:
-                os.remove(part)
+                system.delete_file(part)
             return pa.RecordBatch.from_pydict({"unit": [now], "status": [status], "detail": [str(n)]})
 
         for batch in batches:
@@ -41,10 +45,11 @@ def write_archives(members: DataFrame, target: str) -> DataFrame:
                 if name != now:
                     if now is not None:
                         yield close()
-                    os.makedirs(target, exist_ok=True)
+                    system.create_dir(root, recursive=True)
                     now, status, n = name, "written", 0
-                    part = os.path.join(target, f".{name}.{os.getpid()}.part")
-                    tar = tarfile.open(part, "w:gz", compresslevel=1)
+                    part = part_name(f"{root}/{name}")
+                    stream = system.open_output_stream(part)
+                    tar = tarfile.open(fileobj=stream, mode="w|gz", compresslevel=1)
                 data = contents[i].as_py() or b""
                 try:
                     if tag:

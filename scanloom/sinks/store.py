@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-import hashlib
 import os
 import shutil
 import subprocess
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import pixels
 from ..session import cut_counted
+from ..sources import files
 from ..sources.store import KEY, read_series
 
 OUTCOMES = "unit string, status string, detail string"
@@ -63,19 +65,11 @@ def append_outcomes(outcomes: DataFrame, path: str) -> None:
     outcomes.select("unit", "status", "detail").write.mode("append").parquet(path)
 
 
-def file_digest(path: str) -> str:
-    h = hashlib.sha256()
-    with open(path, "rb") as f:
-        while piece := f.read(1 << 20):
-            h.update(piece)
-    return h.hexdigest()
-
-
 def copy_verified(resolved: DataFrame, source: str, target: str) -> DataFrame:
     """(row_id, status, target): copies found files under their new names and compares digests.
 
-    ``resolved`` has row_id, status, relpath and new_path. Copies go to a temporary name first, so a task
-    that runs twice leaves whole files only. Rows that are not ``found`` keep their status.
+    ``resolved`` has row_id, status, relpath and new_path; source and target are paths or URIs. Copies go
+    to a temporary name first, so a task that runs twice leaves whole files only. Rows that are not ``found`` keep their status.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -84,17 +78,9 @@ def copy_verified(resolved: DataFrame, source: str, target: str) -> DataFrame:
             for r in batch.itertuples(index=False):
                 status, to = r.status, None
                 if status == "found":
-                    a, to = os.path.join(source, r.relpath), os.path.join(target, r.new_path)
+                    to = f"{target.rstrip('/')}/{r.new_path}"
                     try:
-                        os.makedirs(os.path.dirname(to), exist_ok=True)
-                        part = f"{to}.{os.getpid()}.part"
-                        shutil.copyfile(a, part)
-                        if file_digest(a) == file_digest(part):
-                            os.replace(part, to)
-                            status = "copied"
-                        else:
-                            os.remove(part)
-                            status = "checksum_fail"
+                        status = "copied" if files.copy(f"{source.rstrip('/')}/{r.relpath}", to) else "checksum_fail"
                     except FileNotFoundError:
                         status = "not_found"
                     except OSError:
@@ -105,12 +91,19 @@ def copy_verified(resolved: DataFrame, source: str, target: str) -> DataFrame:
     return resolved.select("row_id", "status", "relpath", "new_path").mapInPandas(run, "row_id bigint, status string, target string")
 
 
-def export_video(frames: DataFrame, target: str, fps: int = 24, ffmpeg: str = "ffmpeg") -> DataFrame:
+def export_video(frames: DataFrame, target: str, fps: int = 24, ffmpeg: str = "ffmpeg", series: DataFrame | None = None) -> DataFrame:
     """(unit, status, detail): one MP4 per series, through ffmpeg where it is installed.
 
-    Frames arrive sorted and are piped one by one. Without ffmpeg the status is ``error``.
+    Frames arrive sorted and are piped one by one. Planes that are not 8 bits are scaled by the bounds of
+    their series where ``series`` has them, else by their own. Without ffmpeg the status is ``error``.
     """
-    sorted_ = frames.select(*KEY, "frame_idx", "h", "w", "dtype", "pixels").repartition(*KEY).sortWithinPartitions(*KEY, "frame_idx")
+    bounds = series.select(*KEY, "vmin", "vmax") if series is not None else None
+    rows = frames.join(bounds, KEY, "left") if bounds is not None else frames.withColumns({"vmin": F.lit(None).cast("double"), "vmax": F.lit(None).cast("double")})
+    sorted_ = rows.select(*KEY, "frame_idx", "h", "w", "dtype", "pixels", "vmin", "vmax").repartition(*KEY).sortWithinPartitions(*KEY, "frame_idx")
+
+    def grey(data: bytes, dtype: str, low: float, high: float) -> bytes:
+        known = low == low and low is not None
+        return data if dtype == "u1" else pixels.to_u8(np.frombuffer(data, "<f4"), low if known else None, high if known else None).tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now, pipe = None, None
@@ -134,8 +127,8 @@ def export_video(frames: DataFrame, target: str, fps: int = 24, ffmpeg: str = "f
                         pipe = subprocess.Popen(
                             [ffmpeg, "-y", "-loglevel", "error", "-f", "rawvideo", "-pix_fmt", "gray", "-s", f"{r[6]}x{r[5]}", "-r", str(fps), "-i", "-", "-pix_fmt", "yuv420p", name], stdin=subprocess.PIPE
                         )
-                if pipe is not None and r[7] == "u1":
-                    pipe.stdin.write(r[8])
+                if pipe is not None:
+                    pipe.stdin.write(grey(r[8], r[7], r[9], r[10]))
         if now is not None:
             yield close()
 

@@ -14,10 +14,11 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 import pyarrow as pa
-import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import filesystem
+
 MEMBERS = "archive string, folder string, member string, content binary, status string"
 #: Bytes of members that travel in one Arrow batch.
 BATCH_BYTES = 32 << 20
@@ -30,9 +31,7 @@ def safe_name(name: str) -> bool:
 
 def open_file(path: str) -> io.BufferedIOBase:
     """A file by path or URI, for reading."""
-    if path.startswith("file:") or "://" not in path:
-        return open("/" + path.removeprefix("file:").lstrip("/"), "rb")
-    system, inner = pyarrow.fs.FileSystem.from_uri(path)
+    system, inner = filesystem(path)
     return system.open_input_file(inner)
 
 

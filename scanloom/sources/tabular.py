@@ -18,6 +18,14 @@ def read_csv(spark: SparkSession, path: str, missing: tuple[str, ...] = MISSING,
     return raw.select(*[F.when(~F.col(f"`{c}`").isin(*missing), F.col(f"`{c}`")).alias(c) for c in cols])
 
 
+ROW = "__row"
+
+
+def numbered_csv(spark: SparkSession, path: str) -> DataFrame:
+    """``read_csv`` with the place of each row, so that the first of several can be told."""
+    return read_csv(spark, path).withColumn(ROW, F.monotonically_increasing_id())
+
+
 def read_bulk(spark: SparkSession, path: str) -> DataFrame:
     """A bulk list: blank-separated, without header."""
     return spark.read.csv(path, sep=" ", schema="eid string, data_item string")
@@ -36,6 +44,6 @@ def load_manifest(df: DataFrame, label: str) -> DataFrame:
     return df.select(*out)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """One file with a header; for manifests and reports."""
-    df.coalesce(1).write.mode("overwrite").csv(path, header=True)
+def write_csv(df: DataFrame, path: str, one_file: bool = False) -> None:
+    """A folder of files with headers, a file per partition; one file, written by one task, on request only."""
+    (df.coalesce(1) if one_file else df).write.mode("overwrite").csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)

@@ -105,3 +105,23 @@ def test_prior_without_batch_gets_a_label(spark, two):
     _, every = X.build(batch(spark, B2), two[0].drop("batch"), P, S, "two")
     assert {r.batch for r in every.select("batch").distinct().collect()} == {"prior", "two"}
     assert set(every.columns) >= {P, S, "Report", "Age", "anon_mrn", "anon_accession", "batch"}
+
+
+def test_the_first_prior_row_counts(spark):
+    """Of several prior rows of a key the first in order gives the id, not the smallest id."""
+    prior = spark.createDataFrame([("a", "zz", 1), ("a", "bb", 2), ("b", None, 1), ("b", "cc", 3), ("b", "aa", 4)], "k string, o string, row int")
+    new = spark.createDataFrame([("a",), ("b",), ("c",)], "k string")
+    got = {r.k: r.o for r in X.assign_ids(new, prior, "k", "o", 8, "salt", [F.col("row")]).collect()}
+    assert got["a"] == "zz" and got["b"] == "cc" and len(got["c"]) == 8
+
+
+def test_a_crosswalk_row_is_taken_as_a_whole(spark):
+    from scanloom.operators import resolve
+
+    xw = spark.createDataFrame([("S", "m9", "a1", 1), ("S", "m1", "a9", 2), ("T", None, "a0", 3), ("T", "m2", "a2", 4)], "accession string, anon_mrn string, anon_accession string, row int")
+    rows = spark.createDataFrame([(1, "S"), (2, "T"), (3, "U")], "id int, acc string")
+    done, left = resolve.anonymised(rows, xw, [(F.col("acc"), "accession")], ["anon_mrn", "anon_accession"], "row")
+    assert {(r.id, r.anon_mrn, r.anon_accession) for r in done.collect()} == {(1, "m9", "a1"), (2, "m2", "a2")}
+    unordered, _ = resolve.anonymised(rows, xw.drop("row"), [(F.col("acc"), "accession")], ["anon_mrn", "anon_accession"])
+    assert {(r.id, r.anon_mrn, r.anon_accession) for r in unordered.collect()} == {(1, "m1", "a9"), (2, "m2", "a2")}
+    assert [r.id for r in left.collect()] == [3]

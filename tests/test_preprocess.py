@@ -256,9 +256,9 @@ def test_studies_of_one_name_are_held_back_and_names_stay_inside(spark, tmp_path
     rows = [member("x.tgz", "P", "A"), member("y.tgz", "P", "A"), member("z.tgz", "../../P/1", "A")]
     df = spark.createDataFrame(rows, archives.MEMBERS)
     out = {(r.unit, r.status) for r in anonymise.run(df, "dicom", f"{tmp_path}/in/out").collect()}
-    assert out == {("x.tgz", "ambiguous"), ("y.tgz", "ambiguous"), ("_.._P_1-A.tgz", "written")}
+    assert out == {("x.tgz", "ambiguous"), ("y.tgz", "ambiguous"), ("__.._P_1-A.tgz", "written")}
     found = [p.name for p in tmp_path.rglob("*.tgz")]
-    assert found == ["_.._P_1-A.tgz"] and (tmp_path / "in" / "out" / found[0]).exists()
+    assert found == ["__.._P_1-A.tgz"] and (tmp_path / "in" / "out" / found[0]).exists()
 
 
 def test_fingerprint_equals_a_plain_one():

@@ -4,8 +4,8 @@ A canonical entry has forms: its name, its code, and both written without blanks
 words. A free value is cut into words; a word means a canonical word when it is within k edits of it
 (k by the word's length), or is its beginning, or its consonants. The edit search never compares all
 words: each canonical word is cut into k + 1 segments, one of which must occur unchanged in a word
-within k edits, shifted by at most k; so words join on (length class, segment number, substring) and
-``levenshtein`` verifies. A value means the entry whose form it covers completely; of several the one
+within k edits, and where it can lie follows from the word's length and the edits that remain on either
+side; so words join on (length, place, substring) and ``levenshtein`` verifies. A value means the entry whose form it covers completely; of several the one
 with the most letters, then the fewest edits. Words that no canonical word is near are noise. What no form
 covers is found by anti-join and reported as entry 0.
 
@@ -116,20 +116,28 @@ def near_words(free: DataFrame, known: DataFrame) -> DataFrame:
     known = known.select("ref", "single", allowed(F.col("ref")).alias("k"))
     exact = free.join(known, F.col("word") == F.col("ref")).select("word", "ref", F.lit(0).alias("edits"))
     rest = free.join(known, F.col("word") == F.col("ref"), "left_anti")
-    cut = known.where("k > 0").select("ref", "k", F.explode(_segments(F.col("ref"), F.col("k"))).alias("s"))
-    cut = cut.select("ref", "k", F.length("ref").alias("n"), "s.start", "s.piece", F.length("s.piece").alias("width"))
-    # the places where a piece can lie: its start, shifted by up to k; joined on the substring found there
-    places = cut.select("ref", "k", "n", "piece", "width", F.explode(F.sequence(F.greatest(F.col("start") - F.col("k"), F.lit(1)), F.col("start") + F.col("k"))).alias("at"))
+    cut = known.where("k > 0").select("ref", "k", F.length("ref").alias("n"), F.explode(_segments(F.col("ref"), F.col("k"))).alias("s"))
+    cut = cut.select("ref", "k", "n", "s.no", "s.start", "s.piece", F.length("s.piece").alias("width"), F.explode(F.sequence(F.col("n") - F.col("k"), F.col("n") + F.col("k"))).alias("len"))
+    # where a piece can lie in a word of that length: what is before it took at most ``no`` edits or what is after it the others
+    # at most, or another piece fits as well
+    gap, rest_edits = F.col("len") - F.col("n"), F.col("k") - F.col("no")
+    least = F.greatest(F.col("start") - F.col("no"), F.col("start") + gap - rest_edits, F.lit(1))
+    most = F.least(F.col("start") + F.col("no"), F.col("start") + gap + rest_edits, F.col("len") - F.col("width") + 1)
+    places = cut.withColumns({"least": least, "most": most}).where("least <= most").select("ref", "k", "len", "width", "piece", F.explode(F.sequence("least", "most")).alias("at"))
     places = stored(places, "places")
-    # where pieces can lie and how long they are: at most as many pairs as the longest canonical word has places and lengths
-    shapes = sorted((r["at"], r["width"]) for r in places.select("at", "width").distinct().collect())
-    spots = F.array(*[F.struct(F.lit(at).alias("at"), F.lit(width).alias("width")) for at, width in shapes]) if shapes else F.array().cast("array<struct<at:int,width:int>>")
-    probes = rest.select("word", F.explode(F.filter(spots, lambda s: F.length("word") >= s["at"] + s["width"] - 1)).alias("s")).select(
-        "word", "s.at", "s.width", F.expr("substring(word, s.at, s.width)").alias("piece")
+    # per word length where pieces can lie and how long they are: bounded by the longest canonical word
+    shapes: dict[int, list[tuple[int, int]]] = {}
+    for r in places.select("len", "at", "width").distinct().orderBy("len", "at", "width").collect():
+        shapes.setdefault(r["len"], []).append((r["at"], r["width"]))
+    spot = "array<struct<at:int,width:int>>"
+    spots = F.lit(None).cast(spot)
+    for length, found in shapes.items():
+        spots = F.when(F.length("word") == length, F.array(*[F.struct(F.lit(at).alias("at"), F.lit(width).alias("width")) for at, width in found])).otherwise(spots)
+    probes = rest.select("word", F.length("word").alias("len"), F.explode(spots).alias("s")).select(
+        "word", "len", "s.at", "s.width", F.expr("substring(word, s.at, s.width)").alias("piece")
     )
     close = (
-        probes.join(places, ["at", "width", "piece"]).where("abs(length(word) - n) <= k")
-        .select("word", "ref", "k").distinct()
+        probes.join(places, ["len", "at", "width", "piece"]).select("word", "ref", "k").distinct()
         .select("word", "ref", "k", F.levenshtein("word", "ref").alias("edits")).where("edits <= k").drop("k")
     )
     nearest = close.withColumn("least", F.min("edits").over(Window.partitionBy("word"))).where("edits = least").drop("least")

@@ -5,7 +5,8 @@ are gathered over all of them, per language and pooled, and scored by log-likeli
 manner of Kiss and Strunk (2006):
 
 * abbreviations: words that keep their period, short and with inner periods by preference;
-* collocations: words whose period a number follows, and numbers whose period a word follows (ordinals);
+* collocations: words whose period a number follows, and pairs of a number (ordinals) or an initial with the
+  word after it that occur together more often than their own counts explain;
 * sentence starters: words that follow a sentence end more often than chance.
 
 Each period is then classified with these statistics. Marks that are never ambiguous (``!?`` and those
@@ -29,11 +30,11 @@ from pyspark.sql import functions as F
 from ..session import stored
 from .prose import blocks
 
-#: A word enters the model when it has so many periods (or starts). Every task holds the words with at least
-#: this share of their language's periods (or starts), which bounds each of its lists by the inverse of the
-#: share per language, whatever the size of the corpus; the rarer ones are joined to the stretches that ask for them.
+#: A word or pair enters the model when it has been seen so often. Every task holds about so many of the most
+#: frequent entries, whatever the size of the corpus and the number of languages; the rarer ones are joined to
+#: the stretches that ask for them.
 LEAST_COUNT = 3
-LEAST_SHARE = 1e-5
+MODEL_WORDS = 200_000
 ABBREVIATION_SCORE = 0.3
 COLLOCATION_LLR = 7.88
 STARTER_LLR = 30.0
@@ -44,7 +45,6 @@ _OPENERS = "\"'“‘„‚«‹([{「『（【〈《¿¡"
 _END = re.compile(
     rf"(?P<mark>[.!?…;;।॥؟۔。！？｡]+)(?P<close>[{re.escape(_CLOSERS)}]*(?:[   ][»›])?[{re.escape(_CLOSERS)}]*)(?P<gap>\s*)"
 )
-_WORD_BEFORE = re.compile(r"[^\s]*$")
 _THAI_BLANK = re.compile(r"(?<=[ก-๛຀-໿])(\s+)(?=[ก-๎຀-໿]|[" + re.escape(_OPENERS) + r"]*[A-ZÀ-ÞА-Я])")
 _THAI_END = re.compile(r"[ก-๛຀-໿]")
 _GREEK = re.compile(r"[Ͱ-Ͽἀ-῿]")
@@ -79,6 +79,14 @@ def _next_class(text: str, at: int) -> tuple[str, str]:
     return "low" if c in ",;:-–—)" else "other", word
 
 
+def _before(text: str, at: int) -> str:
+    """The word that ends at a place, however long."""
+    start = at
+    while start > 0 and not text[start - 1].isspace():
+        start -= 1
+    return text[start:at]
+
+
 def _type(word: str) -> str:
     """The word before a period, in lower case, numbers made equal."""
     word = word.lstrip(_OPENERS + "-–—/").lower()
@@ -115,10 +123,12 @@ def observe(text: str, counts: Counter, lang: str) -> None:
         if c == b and kind != "end":
             continue
         if mark == ".":
-            w = _type(_WORD_BEFORE.search(text, max(0, a - 40), a).group())
+            w = _type(_before(text, a))
             if w:
                 counts[lang, "dot", w] += 1
                 counts[lang, "dot_" + kind, w] += 1
+                if kind == "up" and (w == "##" or len(w) == 1):
+                    counts[lang, "pair", f"{w} {nxt_type}"] += 1
                 if w == "##" and kind == "up":
                     counts[lang, "after_number", nxt_type] += 1
         if kind == "up":
@@ -152,7 +162,8 @@ def statistics(pieces: DataFrame) -> DataFrame:
 
     seen = pieces.select("lang", "text").mapInArrow(run, "lang string, kind string, word string, n bigint")
     per = stored(seen.groupBy("lang", "kind", "word").agg(F.sum("n").alias("n")), "counts")
-    return per.union(per.groupBy("kind", "word").agg(F.sum("n").alias("n")).select(F.lit(POOLED).alias("lang"), "kind", "word", "n"))
+    pool = per.groupBy("kind", "word").agg(F.sum("n").alias("n")).select(F.lit(POOLED).alias("lang"), "kind", "word", "n")
+    return stored(per.union(pool), "statistics")
 
 
 def _ll(k, n, p):
@@ -172,14 +183,28 @@ def _llr(k1, n1, k2, n2):
 KINDS = ("plain", "lower", "dot", "dot_low", "dot_num", "dot_up", "dot_other", "dot_end", "starts", "after_number")
 
 
-def model_table(stats: DataFrame) -> DataFrame:
-    """(lang, word, dot, starts, abbreviation, before_number, starter, after_number, lower, common): the scored words.
+def _collocations(stats: DataFrame, words: DataFrame) -> DataFrame:
+    """(lang, word, dot): the pairs "word next" with a period between that belong together; dot is how often.
 
-    Every word above the least count stays; at most 1 / LEAST_SHARE per language and list are common.
+    The next word must follow this one's period more often than it occurs elsewhere, by the ratio's threshold.
     """
-    wide = stats.groupBy("lang", "word").pivot("kind", list(KINDS)).agg(F.sum("n")).na.fill(0)
-    total = wide.groupBy("lang").agg(*[F.sum(k).alias("all_" + k) for k in ("plain", "dot", "dot_num", "starts", "after_number")])
-    w = wide.join(F.broadcast(total), "lang")
+    pairs = stats.where(F.col("kind") == "pair").where(F.col("n") >= LEAST_COUNT).select("lang", F.col("word").alias("pair"), F.col("n").alias("k"))
+    pairs = pairs.withColumns({"word": F.split_part("pair", F.lit(" "), F.lit(1)), "next": F.split_part("pair", F.lit(" "), F.lit(2))})
+    first = words.select("lang", "word", F.col("dot").alias("n1"), (F.col("all_plain") + F.col("all_dot")).alias("tokens"))
+    second = words.select("lang", F.col("word").alias("next"), (F.col("plain") + F.col("dot")).alias("n2"), F.col("starter").alias("next_starts"))
+    known = pairs.join(first, ["lang", "word"]).join(second, ["lang", "next"], "left").na.fill({"n2": 0, "next_starts": False})
+    elsewhere = F.greatest(F.col("n2") - F.col("k"), F.lit(0))
+    together = _llr("k", "n1", elsewhere, F.greatest(F.col("tokens") - F.col("n1"), F.lit(1))) > COLLOCATION_LLR
+    # what merely begins many sentences is no partner of the word before
+    return known.where(together & ~F.col("next_starts")).select("lang", F.col("pair").alias("word"), F.col("k").alias("dot"))
+
+
+def model_table(stats: DataFrame) -> DataFrame:
+    """(lang, word, dot, starts, abbreviation, before_number, starter, after_number, lower, pair): the scored words, and pairs."""
+    wide = stats.where(F.col("kind") != "pair").groupBy("lang", "word").pivot("kind", list(KINDS)).agg(F.sum("n")).na.fill(0)
+    wide = stored(wide, "words")
+    total = stored(wide.groupBy("lang").agg(*[F.sum(k).alias("all_" + k) for k in ("plain", "dot", "dot_num", "starts", "after_number")]), "totals")
+    w = wide.join(total, "lang")  # a row per language
     n = F.col("plain") + F.col("dot")
     tokens = F.col("all_plain") + F.col("all_dot")
     # the ratio of "keeps its period nearly always" to "has one as often as any word"
@@ -192,18 +217,30 @@ def model_table(stats: DataFrame) -> DataFrame:
     attracts = (F.col("dot_num") * 2 > bound) & (_llr("dot_num", "dot", F.col("all_dot_num") - F.col("dot_num"), F.col("all_dot") - F.col("dot")) > COLLOCATION_LLR)
     starter = _llr("starts", n + F.col("starts"), F.col("all_starts") - F.col("starts"), tokens) > STARTER_LLR
     ordinal = (F.col("after_number") > 0) & (_llr("after_number", n, F.col("all_after_number") - F.col("after_number"), tokens) > COLLOCATION_LLR) & (F.col("after_number") * 2 > F.col("starts"))
-    kept = (F.col("dot") >= LEAST_COUNT) | (F.col("starts") >= LEAST_COUNT)
-    common = (
-        ((F.col("dot") >= LEAST_COUNT) & (F.col("dot") >= F.col("all_dot") * LEAST_SHARE))
-        | ((F.col("starts") >= LEAST_COUNT) & (F.col("starts") >= F.col("all_starts") * LEAST_SHARE))
-    )
-    return w.where(kept).select(
-        "lang", "word", "dot", "starts", (abbreviation > ABBREVIATION_SCORE).alias("abbreviation"), attracts.alias("before_number"),
-        starter.alias("starter"), ordinal.alias("after_number"), (F.col("lower") > 0).alias("lower"), common.alias("common"),
+    w = w.withColumns({"abbreviation": abbreviation > ABBREVIATION_SCORE, "before_number": attracts, "starter": starter, "ordinal": ordinal})
+    kept = w.where((F.col("dot") >= LEAST_COUNT) | (F.col("starts") >= LEAST_COUNT)).select(
+        "lang", "word", "dot", "starts", "abbreviation", "before_number", "starter", F.col("ordinal").alias("after_number"), (F.col("lower") > 0).alias("lower"), F.lit(False).alias("pair"),
     )
+    no = F.lit(False)
+    pairs = _collocations(stats, w).select("lang", "word", "dot", F.lit(0).cast("bigint").alias("starts"), no, no, no, no, no, F.lit(True))
+    return kept.union(pairs)
+
+
+def common_entries(scored: DataFrame) -> DataFrame:
+    """``scored`` with ``common``: the most frequent entries, about ``MODEL_WORDS`` of them over all languages."""
+    seen = F.greatest("dot", "starts")
+    scale = F.floor(F.log2(seen.cast("double"))).cast("int")
+    sizes = {r["scale"]: r["n"] for r in scored.groupBy(scale.alias("scale")).agg(F.count(F.lit(1)).alias("n")).collect()}  # 63 at most
+    room, least = MODEL_WORDS, 64
+    for k in sorted(sizes, reverse=True):
+        room -= sizes[k]
+        if room < 0:
+            break
+        least = k
+    return scored.withColumn("common", scale >= least)
 
 
-_SCORES = ("dot", "starts", "abbreviation", "before_number", "starter", "after_number", "lower")
+_SCORES = ("dot", "starts", "abbreviation", "before_number", "starter", "after_number", "lower", "pair")
 
 
 class Model:
@@ -245,6 +282,9 @@ class Model:
         word = word.lower()
         return self._get(lang, word, 1, 4) or (self._get(lang, word, 1, 6) and not self._get(lang, word, 1, 5))
 
+    def together(self, lang: str, before: str, word: str) -> bool:
+        return self._get(lang, f"{before} {word.lower()}", 0, 7)
+
     def ordinal(self, lang: str, word: str) -> bool:
         return self._get(lang, word.lower(), 1, 5)
 
@@ -290,7 +330,7 @@ def _ends(text: str, a: int, b: int, c: int, mark: str, lang: str, model: Model)
         return True
     if mark != ".":
         return True
-    before = _type(_WORD_BEFORE.search(text, max(0, a - 40), a).group())
+    before = _type(_before(text, a))
     if not before:
         return True
     if closed:
@@ -300,7 +340,9 @@ def _ends(text: str, a: int, b: int, c: int, mark: str, lang: str, model: Model)
     if kind == "other":
         return True
     if before == "##":
-        return not model.ordinal(lang, word)
+        return not (model.ordinal(lang, word) or model.together(lang, before, word))
+    if len(before) == 1 and before.isalpha() and model.together(lang, before, word):
+        return False
     return not model.abbreviation(lang, before) or model.starts(lang, word)
 
 
@@ -362,7 +404,7 @@ def rare_words(found: DataFrame, model: Model, rare: DataFrame) -> DataFrame:
 def sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(doc_id, start_pos, end_pos): code point offsets of every sentence, end exclusive."""
     found = stored(pieces(docs, id_col, text_col, lang_col).withColumn("piece", F.monotonically_increasing_id()), "prose")
-    scored = stored(model_table(statistics(found)), "model")
+    scored = stored(common_entries(stored(model_table(statistics(found)), "scored")), "model")
     model = Model(scored.where("common").collect())
     rare = scored.where("not common")
     if rare.isEmpty():

@@ -29,9 +29,9 @@ def test_unclosed_block_comment_hides_no_line():
     assert prose.kind_of('"""\n' + CODE * 3) == "hash"
 
 
-@pytest.mark.parametrize("share", [0.02, 1.1])
-def test_rare_words_count_as_common_ones(spark, share, monkeypatch):
-    """Words below the share of the collected list decide as they do above it."""
+@pytest.mark.parametrize("room", [20, 0])
+def test_rare_words_count_as_common_ones(spark, room, monkeypatch):
+    """Entries beyond the collected list decide as they do above it."""
     text = [f"The dial closes every grid, etc. The grid opens at {i} a.m. The grid ends, i.e. Mode is on. See Fig. {i} and Sec. {i} of vol. Two for the dial. It is lost." for i in range(40)]
     rows = [(i % 30, t, ["en", "de", None][i % 3]) for i, t in enumerate(text)] + [(100, None, "en"), (101, "", "en")]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
@@ -39,9 +39,9 @@ def test_rare_words_count_as_common_ones(spark, share, monkeypatch):
     def found():
         return sorted(map(tuple, sentences.sentences(df).collect()))
 
-    monkeypatch.setattr(sentences, "LEAST_SHARE", 0.0)
+    monkeypatch.setattr(sentences, "MODEL_WORDS", 10**9)
     whole = found()
-    monkeypatch.setattr(sentences, "LEAST_SHARE", share)
+    monkeypatch.setattr(sentences, "MODEL_WORDS", room)
     assert found() == whole
     monkeypatch.setattr(sentences, "LEAST_COUNT", 10**9)
     assert found() != whole

@@ -154,23 +154,28 @@ def meanings(texts: DataFrame, entries: DataFrame, id_col: str, text_cols: tuple
     """
     ref = stored(forms(entries, id_col, text_cols), "forms")
     known = ref.groupBy("ref").agg(F.max(F.col("form") % 2 == 0).alias("single"))
+    known_texts = stored(texts.select("text").withColumn("tid", F.monotonically_increasing_id()), "texts")  # long texts travel as ids
     words = words_of(F.col("text"))
-    tokens = texts.select("text", F.posexplode(words).alias("at", "word")).union(texts.select("text", F.lit(0), joined(F.col("text"))))
-    tokens = stored(tokens.where("word <> ''").groupBy("text", "word").agg(F.min("at").alias("at")), "words")
+    tokens = known_texts.select("tid", F.posexplode(words).alias("at", "word")).union(known_texts.select("tid", F.lit(0), joined(F.col("text"))))
+    tokens = stored(tokens.where("word <> ''").groupBy("tid", "word").agg(F.min("at").alias("at")), "words")
     near = stored(near_words(tokens.select("word").distinct(), known), "near")
+    # the fewest edits, then the first place, as one number
+    cost = F.shiftleft((F.col("edits") + F.col("short")).cast("bigint"), 32) + F.col("at")
     slots = (
         tokens.join(near, "word").join(ref, "ref")
-        .groupBy("text", "entry", "form", "slot")
-        .agg(F.min(F.struct((F.col("edits") + F.col("short")).alias("edits"), "at")).alias("m"), F.max("slots").alias("slots"), F.max("size").alias("size"))
+        .groupBy("tid", "entry", "form", "slot")
+        .agg(F.min(cost).alias("m"), F.max("slots").alias("slots"), F.max("size").alias("size"))
+        .withColumns({"edits": F.shiftright("m", 32), "at": F.col("m").bitwiseAND((1 << 32) - 1)})
     )
     scored = (
-        slots.groupBy("text", "entry", "form")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("slots").alias("slots"), F.max("size").alias("size"), F.sum("m.edits").alias("edits"),
-             F.min("m.at").alias("first"), F.max("m.at").alias("last"))
+        slots.groupBy("tid", "entry", "form")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("slots").alias("slots"), F.max("size").alias("size"), F.sum("edits").alias("edits"),
+             F.min("at").alias("first"), F.max("at").alias("last"))
         .where("n = slots")
     )
     order = F.struct((-F.col("size")).alias("a"), F.col("edits"), (F.col("last") - F.col("first")).alias("span"), F.col("first"), F.col("entry"))
-    return scored.groupBy("text").agg(F.min(order).alias("best")).select("text", F.col("best.entry").alias("entry"))
+    best = scored.groupBy("tid").agg(F.min(order).alias("best")).select("tid", F.col("best.entry").alias("entry"))
+    return known_texts.join(best, "tid").select("text", "entry")
 
 
 def mapped(rows: DataFrame, row_id: str, value_cols: tuple[str, ...], entries: DataFrame, id_col: str, text_cols: tuple[str, ...]) -> DataFrame:

@@ -184,7 +184,7 @@ def _comment_lines(text: str, style: str) -> Iterator[tuple[int, int, bool]]:
         if m["line"] is not None:
             head = text.rfind("\n", 0, m.start()) + 1
             alone = not text[head : m.start()].strip(_BLANKS)
-            column = m.start() - head
+            column = m.start() - head - text.startswith("\ufeff", head)
             a, b = m.span("line")
             if text[a:b].startswith(("!", "/", "#", "-")) :
                 a += 1

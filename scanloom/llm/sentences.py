@@ -5,8 +5,8 @@ are gathered over all of them, per language and pooled, and scored by log-likeli
 manner of Kiss and Strunk (2006):
 
 * abbreviations: words that keep their period, short and with inner periods by preference;
-* collocations: words whose period a number follows, and pairs of a number (ordinals) or an initial with the
-  word after it that occur together more often than their own counts explain;
+* collocations: words whose period a number follows, and pairs of a word, a number (ordinals) or an initial
+  with the word after its period that occur together more often than their own counts explain;
 * sentence starters: words that follow a sentence end more often than chance.
 
 Each period is then classified with these statistics. Marks that are never ambiguous (``!?`` and those
@@ -35,15 +35,24 @@ from .prose import blocks
 #: the stretches that ask for them.
 LEAST_COUNT = 3
 MODEL_WORDS = 200_000
+#: Seen so often in a language, an entry is judged by that language alone, else by it and all together.
+OWN_COUNT = 20
 ABBREVIATION_SCORE = 0.3
 COLLOCATION_LLR = 7.88
 STARTER_LLR = 30.0
+#: Share of a word's capitalised continuations that a collocation must have.
+MOSTLY = 0.8
+#: How many times more often it must follow the word than begin sentences elsewhere.
+LIFT = 40
 POOLED = "*"
 
 _CLOSERS = "\"'”’»›)]}」』）】〉》”’"
 _OPENERS = "\"'“‘„‚«‹([{「『（【〈《¿¡"
 _END = re.compile(
-    rf"(?P<mark>[.!?…;;।॥؟۔。！？｡]+)(?P<close>[{re.escape(_CLOSERS)}]*(?:[   ][»›])?[{re.escape(_CLOSERS)}]*)(?P<gap>\s*)"
+    r"(?P<mark>[.!?…;\u037e।॥؟۔。！？｡]+)"
+    # closing marks; those that open in some languages and close in others close where nothing follows them directly
+    rf"(?P<close>(?:[{re.escape(_CLOSERS)}]|[\u201c\u2018\xab](?=\s|$|[{re.escape(_CLOSERS)}.,;:!?\u201c\u2018]))*"
+    rf"(?:\s+[\xbb\u203a](?=\s|$|[.,;:!?]))?[{re.escape(_CLOSERS)}]*)(?P<gap>\s*)"
 )
 _THAI_BLANK = re.compile(r"(?<=[ก-๛຀-໿])(\s+)(?=[ก-๎຀-໿]|[" + re.escape(_OPENERS) + r"]*[A-ZÀ-ÞА-Я])")
 _THAI_END = re.compile(r"[ก-๛຀-໿]")
@@ -54,6 +63,9 @@ _FULL = set("।॥؟۔。！？｡")
 _CODE_WORD = re.compile(r"[A-Z]\.?\d")
 _CAMEL = re.compile(r"[a-z]{1,3}[A-Z]")
 _CASELESS = re.compile(r"[֐-໿က-႟ក-៿぀-ヿ㐀-鿿가-힯豈-﫿]")
+_MIXED = re.compile(rf"(?:v\d[\d.]*|[a-z]+){_CASELESS.pattern}")
+#: A sentence of a script without case that goes on at once: its opening marks, a version number, its first character.
+_STARTS_CASELESS = re.compile(rf"[{re.escape(_OPENERS)}]*(?:v\d[\d.]*)?{_CASELESS.pattern}")
 
 
 def _next_class(text: str, at: int) -> tuple[str, str]:
@@ -71,7 +83,7 @@ def _next_class(text: str, at: int) -> tuple[str, str]:
     if c.isdigit() or c in "$€£#§" or _CODE_WORD.match(word):
         return "num", word
     if c.islower():
-        return ("up" if _CAMEL.match(word) else "low"), word
+        return ("other" if _MIXED.match(word) else "up" if _CAMEL.match(word) else "low"), word
     if c.isupper() or c.istitle():
         return "up", word
     if c.isalpha():
@@ -87,6 +99,15 @@ def _before(text: str, at: int) -> str:
     return text[start:at]
 
 
+def _pairs_up(word: str) -> bool:
+    """Words that can belong to the word after their period: numbers, initials and words in lower case.
+
+    A capitalised word may be a sentence of its own, and a name with digits is none that recurs.
+    """
+    word = word.lstrip(_OPENERS + "-–—/")
+    return _type(word) == "##" or len(word) == 1 or word[:1].islower() and not any(c.isdigit() for c in word)
+
+
 def _type(word: str) -> str:
     """The word before a period, in lower case, numbers made equal."""
     word = word.lstrip(_OPENERS + "-–—/").lower()
@@ -127,7 +148,7 @@ def observe(text: str, counts: Counter, lang: str) -> None:
             if w:
                 counts[lang, "dot", w] += 1
                 counts[lang, "dot_" + kind, w] += 1
-                if kind == "up" and (w == "##" or len(w) == 1):
+                if kind == "up" and _pairs_up(_before(text, a)):
                     counts[lang, "pair", f"{w} {nxt_type}"] += 1
                 if w == "##" and kind == "up":
                     counts[lang, "after_number", nxt_type] += 1
@@ -184,26 +205,30 @@ KINDS = ("plain", "lower", "dot", "dot_low", "dot_num", "dot_up", "dot_other", "
 
 
 def _collocations(stats: DataFrame, words: DataFrame) -> DataFrame:
-    """(lang, word, dot): the pairs "word next" with a period between that belong together; dot is how often.
+    """(lang, word, dot, pair): the pairs "word next" with a period between, and whether they belong together; dot is how often.
 
-    The next word must follow this one's period more often than it occurs elsewhere, by the ratio's threshold.
+    The next word must follow this one's period more often than it begins sentences elsewhere, by the ratio's
+    threshold. After a word it must also be what nearly always follows, and follow it by far more often; after a number or an initial, which
+    many words follow, it must be no word that often begins sentences.
     """
     pairs = stats.where(F.col("kind") == "pair").where(F.col("n") >= LEAST_COUNT).select("lang", F.col("word").alias("pair"), F.col("n").alias("k"))
     pairs = pairs.withColumns({"word": F.split_part("pair", F.lit(" "), F.lit(1)), "next": F.split_part("pair", F.lit(" "), F.lit(2))})
-    first = words.select("lang", "word", F.col("dot").alias("n1"), (F.col("all_plain") + F.col("all_dot")).alias("tokens"))
-    second = words.select("lang", F.col("word").alias("next"), (F.col("plain") + F.col("dot")).alias("n2"), F.col("starter").alias("next_starts"))
-    known = pairs.join(first, ["lang", "word"]).join(second, ["lang", "next"], "left").na.fill({"n2": 0, "next_starts": False})
-    elsewhere = F.greatest(F.col("n2") - F.col("k"), F.lit(0))
-    together = _llr("k", "n1", elsewhere, F.greatest(F.col("tokens") - F.col("n1"), F.lit(1))) > COLLOCATION_LLR
-    # what merely begins many sentences is no partner of the word before
-    return known.where(together & ~F.col("next_starts")).select("lang", F.col("pair").alias("word"), F.col("k").alias("dot"))
+    first = words.select("lang", "word", F.col("dot_up").alias("n1"), "all_starts")
+    second = words.select("lang", F.col("word").alias("next"), F.col("starts").alias("n2"), F.col("starter").alias("next_starts"))
+    known = pairs.join(first, ["lang", "word"]).join(second, ["lang", "next"])
+    elsewhere, others = F.greatest(F.col("n2") - F.col("k"), F.lit(0)), F.greatest(F.col("all_starts") - F.col("n1"), F.lit(1))
+    together = _llr("k", "n1", elsewhere, others) > COLLOCATION_LLR
+    free = (F.col("word") == "##") | (F.length("word") == 1)
+    usual = F.when(free, ~F.col("next_starts")).otherwise((F.col("k") >= F.col("n1") * MOSTLY) & (F.col("k") / F.col("n1") >= LIFT * elsewhere / others))
+    judged = known.select("lang", F.col("pair").alias("word"), F.col("k").alias("dot"), (together & usual).alias("pair"))
+    return judged.where(F.col("pair") | (F.col("dot") >= OWN_COUNT))
 
 
 def model_table(stats: DataFrame) -> DataFrame:
     """(lang, word, dot, starts, abbreviation, before_number, starter, after_number, lower, pair): the scored words, and pairs."""
     wide = stats.where(F.col("kind") != "pair").groupBy("lang", "word").pivot("kind", list(KINDS)).agg(F.sum("n")).na.fill(0)
     wide = stored(wide, "words")
-    total = stored(wide.groupBy("lang").agg(*[F.sum(k).alias("all_" + k) for k in ("plain", "dot", "dot_num", "starts", "after_number")]), "totals")
+    total = stored(wide.groupBy("lang").agg(*[F.sum(k).alias("all_" + k) for k in ("plain", "dot", "dot_num", "dot_low", "starts", "after_number")]), "totals")
     w = wide.join(total, "lang")  # a row per language
     n = F.col("plain") + F.col("dot")
     tokens = F.col("all_plain") + F.col("all_dot")
@@ -214,7 +239,7 @@ def model_table(stats: DataFrame) -> DataFrame:
     letters = F.length(F.regexp_replace("word", r"\.", ""))
     abbreviation = ratio * F.exp(-letters.cast("double")) * (inner + 1) * F.pow(F.greatest(letters, F.lit(1)).cast("double"), -F.col("plain").cast("double"))
     bound = F.col("dot_num") + F.col("dot_up") + F.col("dot_other") + F.col("dot_end")
-    attracts = (F.col("dot_num") * 2 > bound) & (_llr("dot_num", "dot", F.col("all_dot_num") - F.col("dot_num"), F.col("all_dot") - F.col("dot")) > COLLOCATION_LLR)
+    attracts = (F.col("dot_num") * 2 > bound) & (_llr("dot_num", bound, F.col("all_dot_num") - F.col("dot_num"), F.col("all_dot") - F.col("all_dot_low") - bound) > COLLOCATION_LLR)
     starter = _llr("starts", n + F.col("starts"), F.col("all_starts") - F.col("starts"), tokens) > STARTER_LLR
     ordinal = (F.col("after_number") > 0) & (_llr("after_number", n, F.col("all_after_number") - F.col("after_number"), tokens) > COLLOCATION_LLR) & (F.col("after_number") * 2 > F.col("starts"))
     w = w.withColumns({"abbreviation": abbreviation > ABBREVIATION_SCORE, "before_number": attracts, "starter": starter, "ordinal": ordinal})
@@ -222,7 +247,7 @@ def model_table(stats: DataFrame) -> DataFrame:
         "lang", "word", "dot", "starts", "abbreviation", "before_number", "starter", F.col("ordinal").alias("after_number"), (F.col("lower") > 0).alias("lower"), F.lit(False).alias("pair"),
     )
     no = F.lit(False)
-    pairs = _collocations(stats, w).select("lang", "word", "dot", F.lit(0).cast("bigint").alias("starts"), no, no, no, no, no, F.lit(True))
+    pairs = _collocations(stats, w).select("lang", "word", "dot", F.lit(0).cast("bigint").alias("starts"), no, no, no, no, no, "pair")
     return kept.union(pairs)
 
 
@@ -267,7 +292,7 @@ class Model:
 
     def _get(self, lang: str, word: str, count: int, flag: int) -> bool:
         own = self._row(lang, word)
-        if own is not None and own[count] >= 20:
+        if own is not None and own[count] >= OWN_COUNT:
             return own[flag]
         pooled = self._row(POOLED, word)
         return bool(own and own[flag]) or bool(pooled and pooled[flag])
@@ -323,7 +348,9 @@ def _ends(text: str, a: int, b: int, c: int, mark: str, lang: str, model: Model)
         # a period inside a token, or a script without blanks goes on right after it
         if "…" in mark or len(mark) > 1 and set(mark) == {"."}:
             return False
-        return bool(_CASELESS.match(text[c])) and not (text[a - 1 : a].isdigit() and first == ".") and not (closed and text.startswith(_CARRY_ON, c))
+        if text[a - 1 : a].isdigit() and first == "." or closed and text.startswith(_CARRY_ON, c):
+            return False
+        return bool(_STARTS_CASELESS.match(text, c))
     if kind == "low":
         return False
     if kind == "end":
@@ -341,9 +368,9 @@ def _ends(text: str, a: int, b: int, c: int, mark: str, lang: str, model: Model)
         return True
     if before == "##":
         return not (model.ordinal(lang, word) or model.together(lang, before, word))
-    if len(before) == 1 and before.isalpha() and model.together(lang, before, word):
-        return False
-    return not model.abbreviation(lang, before) or model.starts(lang, word)
+    if not model.abbreviation(lang, before):
+        return True
+    return model.starts(lang, word) and not (_pairs_up(_before(text, a)) and model.together(lang, before, word))
 
 
 def split(text: str, lang: str, model: Model) -> Iterator[tuple[int, int]]:

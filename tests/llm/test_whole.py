@@ -207,3 +207,52 @@ def test_packs_of_one_crowded_length(spark, monkeypatch):
     for i, n in sizes:
         got = sorted(parts[i])
         assert sum(x for *_, x in got) == n and len(got) == max(1, -(-n // 100)) and all(s == p * 100 for p, s, _ in got)
+
+
+def _split(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    texts = {r[0]: r[1] for r in rows}
+    out = {}
+    for r in sentences.sentences(df).orderBy("doc_id", "start_pos").collect():
+        out.setdefault(r.doc_id, []).append(texts[r.doc_id][r.start_pos : r.end_pos])
+    return out
+
+
+def test_collocations_keep_abbreviations_before_sentence_starters(spark):
+    """A word that begins sentences elsewhere does not end the one before where it belongs to an abbreviation."""
+    import random
+
+    rng = random.Random(3)
+    nouns, verbs = ["gate", "lamp", "door", "wheel", "panel", "lever", "valve", "spring"], ["turns", "blocks", "holds", "opens", "closes"]
+
+    def plain():
+        return f"{rng.choice(['The', 'Every', 'Some', 'A', 'Each', 'This', 'It and the'])} {rng.choice(nouns)} {rng.choice(verbs)} {rng.choice(['the', 'no', 'one', 'every'])} {rng.choice(nouns)}."
+
+    def odd(i):
+        return [f"Compare No. {i} vs. No. {i + 1} in the {rng.choice(nouns)}.", "No.", f"It {rng.choice(verbs)} one {rng.choice(nouns)} only."]
+
+    want = {i: [x for _ in range(12) for x in (plain(), plain(), *(odd(i) if rng.random() < 0.04 else [plain()]))] for i in range(60)}
+    got = _split(spark, [(i, " ".join(x), "en") for i, x in want.items()])
+    assert [(x, y) for i in want for x, y in zip(want[i], got[i]) if x != y] == [] and got == want
+
+
+def test_quotes_of_several_languages(spark):
+    rows = [
+        (1, "„Der Faden liest.“ „Der Puffer wartet.“ Das Ende naht.", "de"), (2, "« Le canal lit !\n» Il ferme. « Il lit ? » Puis il part.", "fr"),
+        (3, "The plain winch turns.v2.1では記録を読む。「索引を読む。」と表示する。", "ja"), (4, 'He wrote: "Keep it."「設定を読む。」と表示する。', "ja"),
+    ]
+    got = _split(spark, rows)
+    assert got[1] == ["„Der Faden liest.“", "„Der Puffer wartet.“", "Das Ende naht."]
+    assert got[2] == ["« Le canal lit !\n»", "Il ferme.", "« Il lit ? »", "Puis il part."]
+    assert got[3] == ["The plain winch turns.", "v2.1では記録を読む。", "「索引を読む。」と表示する。"]
+    assert got[4] == ['He wrote: "Keep it."', "「設定を読む。」と表示する。"]
+
+
+def test_words_before_a_period_are_whole(spark):
+    long = "x" * 60
+    assert sentences._before(f"a {long}. B", 62) == long
+
+
+def test_a_comment_after_a_byte_order_mark_goes_on():
+    text = "﻿// The dial closes\n// the grid.\nint a;\nint b = f(a);\n"
+    assert [p.replace(" " * 4, " ").split() for _, p in prose.blocks(text)] == ["The dial closes the grid.".split()]

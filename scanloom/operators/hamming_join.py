@@ -72,7 +72,11 @@ def skipped_buckets(rows: DataFrame, id_col: str, code_col: str, max_bits: int,
 
 
 def near_bit_strings(df: DataFrame, id_col: str, bits_col: str, max_bits: int, width: int = 64) -> DataFrame:
-    """(id_a, id_b, dist) of short bit strings within ``max_bits``, by bands cut at bit positions."""
+    """(id_a, id_b, dist) of short bit strings within ``max_bits``, by bands cut at bit positions.
+
+    For small tables: where ``max_bits`` is a large share of the width, bands are a few bits wide and nearly
+    all rows meet.
+    """
     n = max_bits + 1
     at = bits.band_bounds(n, width)
     cut = F.array(*[F.struct(F.lit(i).alias("band"), F.substring(bits_col, at[i] + 1, at[i + 1] - at[i]).alias("segment")) for i in range(n)])

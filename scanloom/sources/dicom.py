@@ -1,16 +1,19 @@
-"""A small reader and rewriter for uncompressed little-endian DICOM files.
+"""A small reader and rewriter for little-endian DICOM files.
 
-Headers of any explicit or implicit little-endian file are read; pixels only when not compressed. Value
-representations and tags are those of the public standard.
+Headers of any explicit or implicit little-endian file are read; pixels when plain, deflated, run-length
+coded or lossless JPEG. Value representations and tags are those of the public standard.
 """
 
 from __future__ import annotations
 
 import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 
+from . import codecs
+
 # Tags by keyword, with their value representation for writing.
 TAGS = {
     "TransferSyntaxUID": (0x0002, 0x0010, "UI"), "StudyDate": (0x0008, 0x0020, "DA"), "AccessionNumber": (0x0008, 0x0050, "SH"), "Modality": (0x0008, 0x0060, "CS"),
@@ -96,7 +99,7 @@ def _value(keyword: str, raw: bytes) -> str:
 
 def header(data: bytes) -> dict[str, str]:
     """Known tags as text, without reading on past the start of the pixels."""
-    out = {}
+    out, data = {}, inflated(data)
     for tag, _, _, start, length, end, _ in elements(data):
         if tag >= PIXELS:
             break
@@ -105,12 +108,31 @@ def header(data: bytes) -> dict[str, str]:
     return out
 
 
+def inflated(data: bytes) -> bytes:
+    """The file with its deflated part unpacked, as a plain explicit one; other files as they are."""
+    if data[128:132] != b"DICM" or codecs.DEFLATED.encode() not in data[132:1024]:
+        return data
+    at = 132
+    while at + 8 <= len(data) and struct.unpack_from("<H", data, at)[0] == 2:
+        *_, at = _element(data, at, True)
+    try:
+        return data[:at].replace(_uid(codecs.DEFLATED), _uid(EXPLICIT)) + zlib.decompress(data[at:], -15)
+    except zlib.error as e:
+        raise DicomError("damaged deflated file") from e
+
+
+def _uid(text: str) -> bytes:
+    return _encode((2, 0x10), "UI", text.encode(), True)
+
+
 def pixels(data: bytes) -> tuple[dict[str, str], np.ndarray]:
     """(header, array): [h, w], [h, w, samples] or with a leading frame axis."""
+    data = inflated(data)
     head = header(data)
     syntax = head.get("TransferSyntaxUID", IMPLICIT)
-    if syntax not in (IMPLICIT, EXPLICIT):
-        raise DicomError(f"compressed transfer syntax {syntax}")
+    packed = syntax == codecs.RLE or syntax in codecs.JPEG_LOSSLESS
+    if syntax not in (IMPLICIT, EXPLICIT) and not packed:
+        raise DicomError(f"transfer syntax {syntax} is not read")
     try:
         h, w = int(head["Rows"]), int(head["Columns"])
     except KeyError as e:
@@ -121,6 +143,8 @@ def pixels(data: bytes) -> tuple[dict[str, str], np.ndarray]:
     for tag, _, _, start, length, _, _ in elements(data):
         if tag == PIXELS:
             need = h * w * samples * frames
+            if packed:
+                return head, _unpacked(codecs.fragments(data, start), syntax, h, w, samples, frames, dtype)
             if length == UNDEFINED or length < need * dtype.itemsize:
                 raise DicomError("pixel data too short")
             shape = ([frames] if frames > 1 else []) + [h, w] + ([samples] if samples > 1 else [])
@@ -128,6 +152,24 @@ def pixels(data: bytes) -> tuple[dict[str, str], np.ndarray]:
     raise DicomError("no pixel data")
 
 
+def _unpacked(parts: list[bytes], syntax: str, h: int, w: int, samples: int, frames: int, dtype: np.dtype) -> np.ndarray:
+    """The frames of encapsulated pixel data; several frames have an item each."""
+    if frames == 1 and syntax != codecs.RLE:
+        parts = [b"".join(parts)]
+    if len(parts) != frames:
+        raise DicomError("pixel items do not fit the frames")
+    planes = []
+    for part in parts:
+        try:
+            plane = codecs.run_lengths(part, h, w, samples, dtype) if syntax == codecs.RLE else codecs.jpeg_lossless(part).astype(np.uint16).astype(dtype, casting="unsafe")
+        except (IndexError, KeyError, struct.error) as e:
+            raise DicomError("damaged pixel data") from e
+        if plane.shape[:2] != (h, w):
+            raise DicomError("pixel data of another size")
+        planes.append(plane)
+    return np.stack(planes) if frames > 1 else planes[0]
+
+
 def _encode(tag: tuple[int, int], vr: str, raw: bytes, explicit: bool) -> bytes:
     raw += (b"\0" if vr in ("UI", "OB") else b" ") * (len(raw) % 2)
     if not explicit:
@@ -143,6 +185,7 @@ def _raw(keyword: str, value: object) -> bytes:
 
 def rewrite(data: bytes, values: dict[str, str]) -> bytes:
     """A copy of the file with other values for some tags; tags it lacks are added in order."""
+    data = inflated(data)
     todo = {TAGS[k][:2]: (TAGS[k][2], _raw(k, v)) for k, v in values.items()}
     out, last, explicit = [data[:132]], 132, True
     for tag, _, at, _, _, end, explicit in elements(data):

@@ -25,8 +25,8 @@ def relpath() -> Column:
 
 
 def catalog(series: DataFrame) -> DataFrame:
-    """(relpath, series): one row per stored series."""
-    return series.select(relpath().alias("relpath"), "series").distinct()
+    """(relpath, series): one row per stored series, in order."""
+    return series.select(relpath().alias("relpath"), "series").distinct().orderBy("relpath", "series")
 
 
 def one_frame(frames: DataFrame, index: int) -> DataFrame:

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: What an institution's archive name holds: ids from the name (mrn-accession.tgz), or only the mrn.
+#: What an institution's archive name holds: ids from the name (mrn-accession.tgz), or only the mrn.
 #: The preprocessing and the metadata scan treat different institutions this way; both lists are kept.
 NAME_POLICY = {
     "preprocess": {"medstar": "mrn-accession", "upenn": "mrn-accession"},

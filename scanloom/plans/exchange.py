@@ -1,4 +1,4 @@
-"""Queries that go through files: anonymised archives in every mode, verified copies, delimited tables; with their DuckDB counterparts."""
+"""Queries that go through files: stores, anonymised archives in every mode, verified copies, delimited tables; with their DuckDB counterparts."""
 
 from __future__ import annotations
 
@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions import naming
 from ..operators import resolve
+from ..operators.checksum import stream_digest
 from ..session import scratch_path, stored, table
 from ..sinks.archives import write_archives
-from ..sinks.store import copy_verified
-from ..sources import dicom, tabular
+from ..sinks.store import copy_verified, write_store
+from ..sources import dicom, store, tabular
 from ..sources.archives import MEMBERS, ArchiveFiles
 from . import anonymise, preprocess
 
@@ -141,8 +142,62 @@ def zip_participants(spark: SparkSession, d: str) -> DataFrame:
     return heads.select("archive", ids["eid"].alias("eid"), ids["instance"].alias("instance"), "member")
 
 
-QUERIES = {"anonymise_modes": anonymise_modes, "copied_files": copied_files, "csv_tables": csv_tables, "manifest_defaults": manifest_defaults, "zip_participants": zip_participants}
+def _store(spark: SparkSession, d: str) -> str | None:
+    """A store of the studies, written twice under one batch name, which must change nothing."""
+    at = scratch_path(spark, "store")
+    frames, series, _ = preprocess.run(_studies(spark, d, "M{}-A-{}.tgz"), preprocess.Options("medstar", frame_size=None, channels="grey"))
+    if not series.head(1):
+        return None
+    write_store(frames, series, at)
+    write_store(frames, series, at)
+    return at
+
+
+def stored_series(spark: SparkSession, d: str) -> DataFrame:
+    """The catalogue of a written store with the attributes of its series."""
+    at = _store(spark, d)
+    if at is None:
+        return spark.createDataFrame([], "relpath string, series string, total_images int, n_frames int, slice_frames string")
+    series = store.read_series(spark, at).withColumn("relpath", store.relpath())
+    listed = store.catalog(store.read_series(spark, at))
+    return listed.join(series, ["relpath", "series"]).select("relpath", "series", "total_images", "n_frames", F.array_join(F.transform("slice_frames", lambda x: x.cast("string")), ",").alias("slice_frames"))
+
+
+def stored_checksums(spark: SparkSession, d: str) -> DataFrame:
+    """The digest of every stored file over its planes in order."""
+    at = _store(spark, d)
+    if at is None:
+        return spark.createDataFrame([], "file string, checksum string")
+    frames = store.read_frames(spark, at, "med").withColumn("file", store.relpath())
+    return stream_digest(frames, ["file"], ["series", "frame_idx"], "pixels").withColumnRenamed("digest", "checksum")
+
+
+def stored_audit(spark: SparkSession, d: str) -> DataFrame:
+    """Archives that no stored file came from: of each study's archive and one more that was never read."""
+    at = _store(spark, d)
+    names = table(spark, d, "embeddings").where("label is not null").select(F.explode(F.array(F.format_string("M%d-A-%d.tgz", "label", "label"), F.format_string("M%d-B-%d.tgz", "label", "label"))).alias("filenames")).distinct()
+    return names.limit(0) if at is None else preprocess.audit(names, store.read_series(spark, at), "medstar")
+
+
+def stored_frames_at(spark: SparkSession, d: str) -> DataFrame:
+    """One plane of each stored series, the second, as hex."""
+    at = _store(spark, d)
+    if at is None:
+        return spark.createDataFrame([], "series string, frame_idx int, pixels string")
+    return store.one_frame(store.read_frames(spark, at), 1).select("series", "frame_idx", F.lower(F.hex("pixels")).alias("pixels"))
+
+
+_STORED_SQL = """with f as (select label, vec_id, list_transform(embedding, lambda x: trunc((x::double + 2) * 1000)) p from embeddings),
+b as (select *, row_number() over (partition by label order by vec_id) - 1 i, min(list_min(p)) over (partition by label) lo, max(list_max(p)) over (partition by label) hi from f),
+g as (select label, i, string_agg(lpad(lower(to_hex(x.v)), 2, '0'), '' order by x.j) pixels from b, lateral (select unnest(list_transform(p, lambda y: trunc((y - lo) / (hi - lo + 1e-8) * 255)::int)) v, generate_subscripts(p, 1) j) x group by label, i)"""
+
+
+QUERIES = {"stored_series": stored_series, "stored_checksums": stored_checksums, "stored_audit": stored_audit, "stored_frames_at": stored_frames_at, "anonymise_modes": anonymise_modes, "copied_files": copied_files, "csv_tables": csv_tables, "manifest_defaults": manifest_defaults, "zip_participants": zip_participants}
 SQL = {
+    "stored_series": "select 'medstar_M' || label || '/A-' || label || '.h5' relpath, 'view_' || label series, count(*)::int total_images, count(*)::int n_frames, '' slice_frames from embeddings group by label",
+    "stored_checksums": f"{_STORED_SQL} select 'medstar_M' || label || '/A-' || label || '.h5' file, sha256(unhex(string_agg(pixels, '' order by i))) checksum from g group by label",
+    "stored_audit": "select distinct 'M' || label || '-B-' || label || '.tgz' filenames from embeddings",
+    "stored_frames_at": f"{_STORED_SQL} select 'view_' || label series, i::int frame_idx, pixels from g where i = 1",
     "anonymise_modes": _modes_sql(), "copied_files": _COPY_SQL, "csv_tables": _csv_sql(),
     "manifest_defaults": "select 'lab' source, relpath, '' mrn, '' accession, series, '' frame_pos, n_frames, fp_hex from fp_manifest",
     "zip_participants": "select label || '_20209_2_0.tgz' archive, label::varchar eid, '2' as instance, vec_id || '.dcm' as member from embeddings",

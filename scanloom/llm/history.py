@@ -125,7 +125,8 @@ class History:
 
     A batch sees the batches before it only and writes its own folders anew, so one that runs again after a
     failure gives the same result and leaves nothing twice. The number of buckets is fixed when the history
-    begins, by default the session's shuffle partitions. ``close`` forgets the tables, not their files.
+    begins and should suit what it will grow to; by default it is the session's shuffle partitions, but at
+    most four per core. ``close`` forgets the tables, not their files.
     """
 
     TABLES = {"pivots": ("cell BIGINT, cid BIGINT, d0 INT", "cell", "d0"), "codes": ("cid BIGINT, code BINARY", "cid", "cid")}
@@ -134,7 +135,7 @@ class History:
         self.spark, self.path, self.max_bits, self.hot = spark, path.rstrip("/"), max_bits, hot
         self.width = 2 * max_bits + 1
         begun = self._known_buckets()
-        self.buckets = begun or buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = begun or buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
         self.names = {t: f"history_{t}_{hashlib.md5(self.path.encode()).hexdigest()}" for t in self.TABLES}
         for t, (columns, by, order) in self.TABLES.items():
             spark.sql(f"DROP TABLE IF EXISTS {self.names[t]}")

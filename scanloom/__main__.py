@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .operators import crosswalk, ordering, profile, reconcile, resolve, rollup
 from .plans import anonymise, dedup, preprocess
 from .session import DEFAULTS, clear_scratch, stored
+from .sinks.pictures import pictures
 from .sinks.store import append_outcomes, copy_verified, export_video, write_store
 from .sources import archives, store, tabular
 from .streaming import ingest
@@ -139,6 +140,14 @@ def run_video(a: argparse.Namespace) -> None:
     append_outcomes(export_video(frames, a.output, a.fps, series=store.read_series(spark, a.root)), f"{a.output}/_outcomes")
 
 
+def run_plot(a: argparse.Namespace) -> None:
+    spark = _spark()
+    frames, series = store.read_frames(spark, a.root, a.prefix), store.read_series(spark, a.root)
+    if a.series:
+        frames, series = frames.where(F.col("series") == a.series), series.where(F.col("series") == a.series)
+    append_outcomes(pictures(frames, series, f"{a.output}/{a.mode}", a.mode, a.skip), f"{a.output}/_outcomes")
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="scanloom", description=__doc__)
     sub = p.add_subparsers(required=True)
@@ -165,6 +174,7 @@ def parser() -> argparse.ArgumentParser:
     command("checksum", run_checksum, input=need, output=need, compare=(None, str), common_only=(False, bool))
     command("counts", run_counts, root=need, output=(".", str))
     command("video", run_video, root=need, output=need, prefix=(None, str), fps=(24, int))
+    command("plot", run_plot, root=need, output=need, mode=("grid", str), skip=(1, int), series=(None, str), prefix=(None, str))
     command("chunks", run_chunks, bulk=need, output=(None, str), size=(profile.CHUNK, int))
     return p
 

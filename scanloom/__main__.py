@@ -52,6 +52,9 @@ def run_dedup(a: argparse.Namespace) -> None:
         parts = [tabular.load_manifest(tabular.read_csv(spark, p, missing=()), "reference") for p in a.reference.split(",")]
         reference = reconcile.union_manifests(parts)
     duplicates, flagged = dedup.report(manifest, reference, a.threshold, a.min_series, a.max_bucket)
+    if a.max_bucket is not None:
+        every = manifest if reference is None else manifest.select(*rollup.MANIFEST).union(reference.select(*rollup.MANIFEST))
+        append_outcomes(dedup.skipped(every, a.max_bucket, a.threshold), f"{a.output}/_outcomes")
     tabular.write_csv(duplicates, f"{a.output}/duplicates")
     tabular.write_csv(flagged, f"{a.output}/flagged")
 

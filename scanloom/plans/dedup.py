@@ -61,3 +61,9 @@ def report(manifest: DataFrame, reference: DataFrame | None = None, threshold: f
     pairs = rollup.file_pairs(rollup.frame_pairs(named, near), named, min_series, new_sources)
     duplicates, flagged = rollup.clustered(pairs)
     return rollup.report_order(duplicates), rollup.flagged_order(flagged)
+
+
+def skipped(manifest: DataFrame, max_bucket: int, threshold: float = 99.0) -> DataFrame:
+    """(unit, status, detail): the buckets that a report with a bucket limit leaves out."""
+    valid = hamming_join.valid_codes(manifest.select(*rollup.MANIFEST)).withColumn("row_id", F.monotonically_increasing_id())
+    return hamming_join.skipped_buckets(stored(valid, "valid"), "row_id", "fp_hex", bits.allowed_bits(threshold), max_bucket)

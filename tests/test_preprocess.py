@@ -166,6 +166,7 @@ def test_duplicate_report(spark):
     d = dup.collect()
     assert [(r.file_a, r.file_b, r.matching_series, r.match_fraction, r.min_hamming, r.matching_frames) for r in d] == [("f1.h5", "f2.h5", 5, 1.0, 1, 25)]
     assert [(r.relpath, r.cluster_id, r.n_partners) for r in flagged.collect()] == [("f1.h5", 1, 1), ("f2.h5", 1, 1)]
+    assert {r.status for r in dedup.skipped(manifest, 3).collect()} == {"bucket_skipped"} and dedup.skipped(manifest, 100).count() == 0
     old = manifest.withColumn("source", F.lit("old"))
     only_new, _ = dedup.report(manifest.where("relpath = 'f3.h5'"), old)
     assert {(r.source_a, r.source_b) for r in only_new.collect()} == {("new", "old")}

@@ -19,6 +19,10 @@ from ..session import cut, cut_counted
 from .ordering import places
 
 
+#: Pointers that are followed before a table is written.
+HOPS = 4
+
+
 def _selected(edges: DataFrame) -> DataFrame:
     """(v, p): for each component the other end of its smallest edge; edges (a, b) have a < b.
 
@@ -30,7 +34,7 @@ def _selected(edges: DataFrame) -> DataFrame:
 
 
 def _roots(parents: DataFrame) -> DataFrame:
-    """(v, p) with p the root of v's tree: breaks mutual pairs, then follows pointers three at a time."""
+    """(v, p) with p the root of v's tree: breaks mutual pairs, then follows ``HOPS`` pointers at a time, and theirs."""
     other = parents.select(F.col("v").alias("p"), F.col("p").alias("pp"))
     tree = cut(
         parents.join(other, "p").select(
@@ -39,9 +43,10 @@ def _roots(parents: DataFrame) -> DataFrame:
     )
     moved = 1
     while moved:
-        up = tree.select(F.col("v").alias("p"), F.col("p").alias("q"))
-        upper = tree.select(F.col("v").alias("q"), F.col("p").alias("r"))
-        far = tree.select("v", "p").join(up, "p").join(upper, "q").select("v", F.col("r").alias("p"), (F.col("r") != F.col("p")).alias("moved"))
+        far = tree.select("v", F.col("p").alias("first"), F.col("p").alias("h0"))
+        for i in range(HOPS):
+            far = far.join(tree.select(F.col("v").alias(f"h{i}"), F.col("p").alias(f"h{i + 1}")), f"h{i}").drop(f"h{i}")
+        far = far.select("v", F.col(f"h{HOPS}").alias("p"), (F.col(f"h{HOPS}") != F.col("first")).alias("moved"))
         tree, moved = cut_counted(far, F.col("moved"), drop=(tree,))
     return tree.select("v", "p")
 
@@ -69,7 +74,7 @@ def labels(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     whole = merged[-1]
     for step in reversed(merged[:-1]):
         last = whole.select(F.col("v").alias("p"), F.col("p").alias("top"))
-        whole = cut(step.join(last, "p", "left").select("v", F.coalesce("top", "p").alias("p")))
+        whole = step.join(last, "p", "left").select("v", F.coalesce("top", "p").alias("p"))
     top = nodes.join(whole.withColumnRenamed("v", "node"), "node", "left").select("node", F.coalesce("p", "node").alias("c"))
     top = cut(top)
     smallest = top.groupBy("c").agg(F.min("node").alias("label"))

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from ..functions import bits
 from ..functions.ids import canonical_id
 from ..operators.pigeonhole import HOT_BUCKET, lane_table, split_rows
-from ..session import cut, scratch_path, stored
+from ..session import cut, remove, scratch_path, stored
 from .hamming_groups import code_rows
 
 #: Pivots per table. Eight 7-bit distances and the segment fill one long.
@@ -158,6 +158,15 @@ class History:
     def _before(self, name: str, batch_no: int) -> DataFrame:
         return self.spark.table(self.names[name]).where(F.col("first_batch") < batch_no)
 
+    def _of_before(self, name: str, past: DataFrame, keys: DataFrame) -> DataFrame:
+        """The rows of ``past``, a part of the table ``name``, whose key is among ``keys``, found where they lie.
+
+        The keys go to as many partitions as there are buckets: of two sides laid out by the key the planner
+        shuffles the one with fewer partitions, and that is the history where shuffles have more than its buckets.
+        """
+        by = self.TABLES[name][1]
+        return past.join(keys.select(by).repartition(self.buckets, by).distinct(), by, "left_semi")
+
     def _has_before(self, batch_no: int) -> bool:
         parts = self.spark.sql(f"SHOW PARTITIONS {self.names['codes']}").collect()  # one row per batch
         return any(int(p[0].split("=")[1]) < batch_no for p in parts)
@@ -180,7 +189,7 @@ class History:
         past = self._before("pivots", batch_no).where(F.col("d0").between(reach[0] - k, reach[1] + k))
         bands = F.array_distinct(F.array(F.floor((F.col("d0") - k) / self.width), F.floor((F.col("d0") + k) / self.width)))
         asked = probes.select("key", "cid", "d0", F.explode(bands).alias("band")).select(_cell(F.col("band")).alias("cell"), "cid", "d0")
-        met = stored(past.join(asked.select("cell").distinct(), "cell", "left_semi").select("cell", "cid", "d0"), "met")
+        met = stored(self._of_before("pivots", past, asked).select("cell", "cid", "d0"), "met")
         crowded = met.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > self.hot)
         young, old, more = asked, met, None
         if crowded.head(1):
@@ -195,7 +204,8 @@ class History:
         rows = met.withColumn("old", F.lit(True)).union(asked.withColumn("old", F.lit(False)))
         rows = stored(rows.join(crowded, "cell").select(F.col("cell").alias("key"), "cid", "d0", "old", "n"), "rows")
         ids = rows.select("cid", "d0", "old").distinct()
-        wide = stored(lane_table(codes.union(self._before("codes", batch_no).select("cid", "code")).join(ids, "cid", "left_semi"), "cid", "code"), "lanes")
+        kept = self._of_before("codes", self._before("codes", batch_no), ids).select("cid", "code")
+        wide = stored(lane_table(codes.join(ids, "cid", "left_semi").select("cid", "code").union(kept), "cid", "code"), "lanes")
         parts = [finer.join(ids, "cid") for finer in split_rows(rows.select("key", "cid", "n"), wide, "cid", bits.band_count(self.max_bits), self.hot)]
         both = reduce(DataFrame.union, [x.select("key", "cid", "d0", "old") for x in parts])
         return _within(both.where("not old"), both.where("old"), self.max_bits, "key")
@@ -219,7 +229,10 @@ class History:
         own = probes.join(near, "cid", "left_anti").select(_cell(F.floor(F.col("d0") / self.width)).alias("cell"), "cid", "d0")
         self._write("pivots", own, batch_no)
         hit = codes.join(near, "cid", "left_semi").select("code", F.lit(True).alias("hit"))
-        return cut(rows.join(hit, "code", "left").select("row_id", F.coalesce("hit", F.lit(False)).alias("is_case")))
+        out = cut(rows.join(hit, "code", "left").select("row_id", F.coalesce("hit", F.lit(False)).alias("is_case")))
+        for done in (codes, probes, near):  # the history and the answer are written; else they pile up batch by batch
+            remove(done)
+        return out
 
 
 def batch_cases(df: DataFrame, batch_col: str, max_bits: int, id_col: str = "row_id", code_col: str = "fp_hex", hot: int = HOT_BUCKET) -> DataFrame:

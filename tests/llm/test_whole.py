@@ -77,6 +77,47 @@ def test_history_is_joined_where_it_lies(spark, tmp_path):
     kept.close()
 
 
+@pytest.mark.parametrize(("hot", "reads"), [(24, 2), (0, 3)])
+def test_a_batch_leaves_the_history_where_it_lies(spark, tmp_path, monkeypatch, hot, reads):
+    """Shuffles of more partitions than the history has buckets do not shuffle it, and tables of a batch that is done are gone."""
+    import os
+
+    from scanloom import session
+    from scanloom.llm import history
+
+    old = _history_rows(200)
+    new = [(1000 + i, s, r, f"{int(c, 16) ^ 1 << 700:0256x}", 1, "") for i, s, r, c, *_ in old[:30]] + [(2000 + i, s, r, c, 1, "") for i, s, r, c, *_ in _history_rows(30, 5)]
+    df = spark.createDataFrame(old + new, "row_id bigint, source string, relpath string, fp_hex string, batch_no int, cid string")
+    plans, paths = [], []
+
+    def seen(plain):
+        def write(frame, *a):
+            plans.append(frame._jdf.queryExecution().executedPlan().toString())
+            out = plain(frame, *a)
+            paths.append(out._written_to.removeprefix("file://"))
+            return out
+
+        return write
+
+    monkeypatch.setattr(history, "stored", seen(session.stored))
+    monkeypatch.setattr(history, "cut", seen(session.cut))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = history.History(spark, f"file://{tmp_path}/h", 10, buckets=3, hot=hot)
+        kept.check(df.where("batch_no = 0"), 0)
+        got = {r.row_id for r in kept.check(df.where("batch_no = 1"), 1).where("is_case").collect()}
+        kept.close()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == set(range(1000, 1030))
+    scans = [line for plan in plans for line in plan.splitlines() if "history_pivots" in line or "history_codes" in line]
+    assert len(scans) >= reads and all("Bucketed: true" in line for line in scans)
+    assert not [p for p in paths if os.path.basename(p).startswith(("batch-", "probes-")) and os.path.exists(p)]
+
+
 def test_a_history_opened_again_goes_on(spark, tmp_path):
     from scanloom.llm import history
 
